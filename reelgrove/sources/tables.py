@@ -22,9 +22,12 @@ def write_parquet(
     return df.sparkSession.read.parquet(path)
 
 
-def create_table_as(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+def create_table_as(
+    df: DataFrame, table: str, columns: Sequence[str], path: str | None = None
+) -> DataFrame:
     """Create or replace a catalog table from some columns of a table."""
-    df.select(*columns).write.mode("overwrite").format("parquet").saveAsTable(table)
+    writer = df.select(*columns).write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
     return df.sparkSession.table(table)
 
 
