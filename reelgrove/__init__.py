@@ -1,5 +1,5 @@
 """Content recommendation and viewing analytics as Spark jobs."""
 
-from reelgrove.session import build_session, shared_dir, tune
+from reelgrove.session import build_session, shared_dir, stored, tune
 
-__all__ = ["build_session", "shared_dir", "tune"]
+__all__ = ["build_session", "shared_dir", "stored", "tune"]

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 _SALT = "__salt"
 _MIN_SUPPORT = 2e-4
@@ -30,6 +30,38 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(conf.autoBroadcastJoinThreshold())
 
 
+def source_bytes(df: DataFrame) -> int:
+    """Size of everything the plan reads."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Exact size of the rows: fixed widths plus the bytes of every text."""
+    fixed, texts = 8 * (len(df.columns) + 1), []
+    for field in df.schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            texts.append(F.coalesce(F.octet_length(field.name), F.lit(0)))
+        elif not isinstance(field.dataType, T.AtomicType):
+            texts.append(F.octet_length(F.to_json(F.struct(field.name))))
+    total = reduce(lambda a, b: a + b, texts, F.lit(fixed))
+    return int(df.agg(F.coalesce(F.sum(total.cast("bigint")), F.lit(0))).first()[0])
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the rows are known to fit the session's broadcast limit.
+
+    Catalyst multiplies sizes at joins, so a small joined lookup can look large. One that
+    reads little is therefore measured.
+    """
+    limit = broadcast_limit(df)
+    if limit <= 0:
+        return False
+    if planned_bytes(df) <= limit:
+        return True
+    return source_bytes(df) <= 4 * limit and measured_bytes(df) <= limit
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -39,14 +71,13 @@ def key_code(keys: Sequence[str], types: Sequence) -> Column:
     return F.xxhash64(*[F.col(k).cast(t) for k, t in zip(keys, types)])
 
 
-def frequent_codes(df: DataFrame, keys: Sequence[str], support: float) -> list[int]:
-    """Codes of the key tuples with at least ``support`` of the rows; at most ``1 / support``.
+def frequent_codes(keys: DataFrame, types: Sequence, support: float) -> list[int]:
+    """Codes of the rows with at least ``support`` of the rows; at most ``1 / support``.
 
     The sketch names the candidates in one pass, a count of just those confirms them.
-    Both read the key columns only and bring back at most ``1 / support`` numbers.
+    Either brings back at most ``1 / support`` numbers.
     """
-    types = [df.schema[k].dataType for k in keys]
-    codes = df.dropna(subset=list(keys)).select(key_code(keys, types).alias("code"))
+    codes = keys.dropna().select(key_code(keys.columns, types).alias("code"))
     candidates = codes.freqItems(["code"], support).first()[0]
     if not candidates:
         return []
@@ -65,20 +96,27 @@ def row_salt(df: DataFrame, salts: int) -> Column:
 
 
 def lookup_join(
-    fact: DataFrame, lookup: DataFrame, keys: str | Sequence[str], how: str = "left"
+    fact: DataFrame,
+    lookup: DataFrame,
+    keys: str | Sequence[str],
+    how: str = "left",
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``fact`` to ``lookup``, which holds at most one row per key.
 
     ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. The result equals
-    the plain join; only its distribution differs.
+    the plain join; only its distribution differs. ``keys_from`` names a cheaper table
+    with the same key frequencies, for a ``fact`` that already went through joins.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if planned_bytes(lookup) <= broadcast_limit(lookup):
+    if fits_broadcast(lookup):
         return fact.join(F.broadcast(lookup), keys, how)
 
     partitions = shuffle_partitions(fact)
     support = min(_MAX_SUPPORT, max(_MIN_SUPPORT, 4.0 / partitions))
-    hot = frequent_codes(fact, keys, support)
+    source = fact if keys_from is None else keys_from
+    types = [fact.schema[k].dataType for k in keys]
+    hot = frequent_codes(source.select(*keys), types, support)
     if not hot:
         return fact.join(lookup, keys, how)
     return salted_join(fact, lookup, keys, how, hot, salts=max(2, min(256, partitions // 2)))

@@ -45,8 +45,11 @@ def silver_interactions(bronze: DataFrame, **options) -> DataFrame:
     return silver(bronze, INTERACTION_RULES, None, **options)
 
 
-def genre_enrich(rows: DataFrame, items: DataFrame) -> DataFrame:
-    return lookup_join(rows, items.select("content_id", "genre"), "content_id")
+def genre_enrich(
+    rows: DataFrame, items: DataFrame, keys_from: DataFrame | None = None
+) -> DataFrame:
+    genres = items.select("content_id", "genre")
+    return lookup_join(rows, genres, "content_id", keys_from=keys_from)
 
 
 def gold_interactions(
@@ -60,7 +63,9 @@ def gold_interactions(
     with_items = lookup_join(
         interactions, items.select("content_id", *item_columns), "content_id"
     )
-    return lookup_join(with_items, users.select("user_id", *user_columns), "user_id")
+    return lookup_join(
+        with_items, users.select("user_id", *user_columns), "user_id", keys_from=interactions
+    )
 
 
 def gold_user_360(interactions: DataFrame, items: DataFrame) -> DataFrame:
@@ -77,7 +82,7 @@ def gold_user_360(interactions: DataFrame, items: DataFrame) -> DataFrame:
         F.sum("watch_seconds").alias("seconds"),
         F.min("event_ts").alias("first_ts"),
     )
-    enriched = genre_enrich(pairs, items)
+    enriched = genre_enrich(pairs, items, keys_from=interactions)
     return enriched.groupBy("user_id").agg(
         F.sum("views").alias("interaction_count"),
         F.sum("seconds").alias("total_watch_seconds"),

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reelgrove.functions.expressions import age_band, is_weekend
 from reelgrove.operators.filters import cold_start_users, last_n_days, latest, valid_views
 from reelgrove.operators.joins import lookup_join
+from reelgrove.session import stored
 
 HOUR = 3600
 
@@ -17,15 +18,18 @@ def _rate() -> Column:
 
 def top_shows_week(gold: DataFrame, items: DataFrame, k: int = 10, days: int = 7) -> DataFrame:
     """Most watched items of the last week; titles are looked up for the winners only."""
-    top = (
+    top = stored(
         valid_views(last_n_days(gold, days))
         .groupBy("content_id")
         .agg(F.sum("watch_seconds").alias("watch_seconds"), F.count("*").alias("views"))
         .orderBy(F.desc("watch_seconds"), "content_id")
-        .limit(k)
+        .limit(k),
+        "top_shows",
     )
+    # Both broadcast sides hold at most k rows.
     titles = items.select("content_id", "title", "genre")
-    return titles.join(F.broadcast(top), "content_id", "right")
+    found = titles.join(F.broadcast(top.select("content_id")), "content_id", "left_semi")
+    return top.join(F.broadcast(found), "content_id", "left")
 
 
 def completion_by_genre(gold: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from reelgrove.operators.lists import diversity_rerank, titles_before
 from reelgrove.operators.models import Ranker
 from reelgrove.operators.similarity import knn_approx, knn_exact
 from reelgrove.operators.upsert import upsert_by_key
+from reelgrove.session import stored
 
 
 def candidate_lists(ranked: DataFrame, key: str, item: str = "content_id") -> DataFrame:
@@ -54,7 +55,8 @@ def retrieve_by_seed(
         if n_probe is None
         else knn_approx(queries, vectors, k, n_probe=n_probe, **search)
     )
-    by_seed = candidate_lists(near, "seed_content_id").withColumnRenamed("candidates", "__near")
+    by_seed = stored(candidate_lists(near, "seed_content_id"), "seed_candidates")
+    by_seed = by_seed.withColumnRenamed("candidates", "__near")
     rows = lookup_join(users, by_seed, "seed_content_id")
     choices = [F.col("__near")]
     drop = ["__near"]
@@ -115,7 +117,9 @@ def ranked_lists(
 ) -> DataFrame:
     """Diverse top lists in long form: one row per recommendation, with its title."""
     columns = ["user_id", "content_id", "score", "retrieved_by", "u_fav_genre"]
-    top = diversity_rerank(scored.select(*columns, F.col("i_genre").alias("genre")), k)
+    top = stored(
+        diversity_rerank(scored.select(*columns, F.col("i_genre").alias("genre")), k), "top_lists"
+    )
     titled = lookup_join(top, item_features.select("content_id", "title"), "content_id")
     return titled.withColumn(
         "fav_genre", F.coalesce("u_fav_genre", F.lit(fixed.DEFAULT_GENRE))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from reelgrove.functions import fixed_values as fixed
 from reelgrove.operators import features, lists, models, recommend
 from reelgrove.operators.joins import lookup_join
-from reelgrove.plans.registry import query
 from reelgrove.plans.aggregates import _watch_lists
+from reelgrove.plans.registry import query
+from reelgrove.session import stored
 from reelgrove.sources import sample_views as v
 
 # A short search: the full space grows up to 200 trees per trial.
@@ -16,17 +17,15 @@ SHORT_SEARCH = dict(trials=3, leaves=(8, 16), trees=(4, 8))
 SHORT_FIT = dict(maxIter=8, maxDepth=4)
 
 
-def _rows(spark, folder):
-    return features.training_set(
-        v.gold_interactions(spark, folder),
-        v.all_user_features(spark, folder),
-        v.all_item_features(spark, folder),
+def _rows(gold, users, items):
+    return stored(
+        models.rank_training_split(features.training_set(gold, users, items)), "training_set"
     )
 
 
-def _split(spark, folder):
-    marked = models.rank_training_split(_rows(spark, folder))
-    return marked.where("split = 'train'"), marked.where("split = 'test'")
+def _split(gold, users, items):
+    rows = _rows(gold, users, items)
+    return rows.where("split = 'train'"), rows.where("split = 'test'")
 
 
 @query("rank_training_split", """
@@ -40,14 +39,14 @@ def rank_training_split(spark, folder):
 
 @query("ranker_fit")
 def ranker_fit(spark, folder):
-    train, test = _split(spark, folder)
+    train, test = _split(*v.feature_tables(spark, folder))
     ranker = models.ranker_fit(train, **SHORT_FIT)
     return ranker.score(test).select("interaction_id", "user_id", "content_id", "completed", "score")
 
 
 @query("ranker_search")
 def ranker_search(spark, folder):
-    train, test = _split(spark, folder)
+    train, test = _split(*v.feature_tables(spark, folder))
     best, trials = models.ranker_search(train, test, models.search_space(**SHORT_SEARCH))
     rows = [
         (i, p["maxDepth"], p["stepSize"], p["maxIter"], p["minInstancesPerNode"], auc,
@@ -81,19 +80,12 @@ def auc(spark, folder):
 
 # ---- retrieval --------------------------------------------------------------------
 
-def _item_vectors(spark, folder):
-    known = v.silver_items(spark, folder).select("content_id")
-    return v.vectors(spark, folder).join(known, "content_id", "left_semi")
-
-
-def _with_candidates(spark, folder):
-    items = v.all_item_features(spark, folder)
-    users = recommend.retrieve_by_seed(
-        v.all_user_features(spark, folder),
-        _item_vectors(spark, folder),
-        popular=recommend.popular_items(items),
-    )
-    return users, items
+def _with_candidates(spark, folder, tables=None):
+    _, users, items = tables or v.feature_tables(spark, folder)
+    known = items.select("content_id")
+    vectors = lookup_join(v.vectors(spark, folder), known, "content_id", "left_semi")
+    found = recommend.retrieve_by_seed(users, vectors, popular=recommend.popular_items(items))
+    return stored(found, "candidates"), items
 
 
 _CANDIDATES = """
@@ -178,8 +170,9 @@ def user_candidate_pairs(spark, folder):
 @query("score_candidates")
 def score_candidates(spark, folder):
     """A ranker trained on the whole table scores every user's candidates."""
-    users, items = _with_candidates(spark, folder)
-    ranker = models.ranker_fit(_split(spark, folder)[0], **SHORT_FIT)
+    tables = v.feature_tables(spark, folder)
+    users, items = _with_candidates(spark, folder, tables)
+    ranker = models.ranker_fit(_split(*tables)[0], **SHORT_FIT)
     scored = recommend.score_candidates(recommend.user_candidate_pairs(users, items), ranker)
     return scored.select("user_id", "content_id", "retrieved_by", "score")
 

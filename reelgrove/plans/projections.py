@@ -278,8 +278,4 @@ def popularity_join(spark, folder):
     FROM gold_interactions g LEFT JOIN user_features u ON g.user_id = u.user_id
     LEFT JOIN item_features t ON g.content_id = t.content_id""")
 def training_set(spark, folder):
-    return features.training_set(
-        v.gold_interactions(spark, folder),
-        v.all_user_features(spark, folder),
-        v.all_item_features(spark, folder),
-    )
+    return features.training_set(*v.feature_tables(spark, folder))

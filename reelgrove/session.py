@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on. Cluster sizing (executors, memory,
 # spark.sql.shuffle.partitions) stays with whoever submits the job.
@@ -59,3 +59,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             _local_fallback = tempfile.mkdtemp(prefix="reelgrove-")
         base = _local_fallback
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows from a table written to the shared folder.
+
+    For results that several later steps read: they are computed once, a lost executor
+    costs a re-read, and later plans know their real size.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

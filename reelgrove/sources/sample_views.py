@@ -9,6 +9,7 @@ from reelgrove.operators import medallion
 from reelgrove.operators.features import item_features, user_features
 from reelgrove.operators.filters import derive_completed
 from reelgrove.operators.joins import lookup_join
+from reelgrove.session import stored
 from reelgrove.sources.tables import read_table
 
 
@@ -102,6 +103,17 @@ def all_item_features(spark: SparkSession, folder: str) -> DataFrame:
     return item_features(silver_items(spark, folder), viewed_items(spark, folder))
 
 
+def feature_tables(spark, folder):
+    """Gold interactions and both feature tables, stored, as models and lists read them often."""
+    gold = stored(gold_interactions(spark, folder), "gold_interactions")
+    items = stored(silver_items(spark, folder), "silver_items")
+    return (
+        gold,
+        stored(user_features(gold), "user_features"),
+        stored(item_features(items, gold), "item_features"),
+    )
+
+
 # ---- logs ---------------------------------------------------------------------
 
 def _events(spark: SparkSession, folder: str, *types: str) -> DataFrame:
