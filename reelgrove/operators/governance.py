@@ -186,8 +186,11 @@ def request_log_rows(
 
 
 def append_request_log(scored: DataFrame, path: str, **columns) -> None:
-    """Append to a log laid out by day."""
-    rows = request_log_rows(scored, **columns)
+    """Append to a log laid out by day.
+
+    Rebalancing gives each day few files and cuts a heavy day into several.
+    """
+    rows = request_log_rows(scored, **columns).hint("rebalance", "day")
     rows.write.mode("append").partitionBy("day").parquet(path)
 
 

@@ -65,7 +65,7 @@ def scd2_from_cdc(
     keys: str | Sequence[str],
     sequence_by: str,
     tie_break: str | None = None,
-    slice_seconds: int = 86_400,
+    slice_seconds: int = 3_600,
 ) -> DataFrame:
     """History rows with ``valid_from``, ``valid_to`` and ``is_current``.
 

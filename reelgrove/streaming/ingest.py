@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from reelgrove.operators.joins import row_salt
 from reelgrove.operators.quality import (
     INTERACTION_RULES,
     ITEM_RULES,
@@ -80,6 +81,21 @@ SILVER = {
 }
 
 
+def _first_per_key(
+    rows: DataFrame, key: str, watermark: tuple[str, str] | None, salts: int
+) -> DataFrame:
+    if watermark:
+        rows = rows.withWatermark(*watermark)
+
+    def first(df: DataFrame, keys: list[str]) -> DataFrame:
+        return df.dropDuplicatesWithinWatermark(keys) if watermark else df.dropDuplicates(keys)
+
+    if salts > 1:
+        salted = rows.withColumn("__salt", row_salt(rows, salts))
+        rows = first(salted, [key, "__salt"]).drop("__salt")
+    return first(rows, [key])
+
+
 def stream_silver(
     spark: SparkSession,
     bronze: str,
@@ -89,22 +105,23 @@ def stream_silver(
     key: str | None = None,
     watermark: tuple[str, str] | None = None,
     name: str = "quality",
+    salts: int = 16,
 ) -> dict[str, int]:
     """Bronze to silver: first row per key, failure counts, dropping rules.
 
     Without a watermark every key ever seen is remembered, which suits dimension
     tables; the RocksDB state store keeps that off the heap. With a watermark
-    (column, delay) only keys inside the delay are. Returns the failures per rule.
+    (column, delay) only keys inside the delay are. Copies are first dropped per key and
+    salt, so that one key with very many copies is not read by a single task; ``salts=1``
+    leaves that step out. Returns the failures per rule.
     """
     spark.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
     rows = spark.readStream.schema(landed_schema(spark, bronze)).parquet(bronze)
-    if key and watermark:
-        rows = rows.withWatermark(*watermark).dropDuplicatesWithinWatermark([key])
-    elif key:
-        rows = rows.dropDuplicates([key])
+    if key:
+        rows = _first_per_key(rows, key, watermark, salts)
     checked = expect_or_drop(expect_warn(rows, rules, name), rules)
     query = drain(checked, target, checkpoint)
     counts: dict[str, int] = {}

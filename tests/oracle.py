@@ -75,3 +75,8 @@ def differences(df, sql: str, folder: str) -> list[str]:
     if different:
         problems.append(f"{len(different)} rows differ, first: {different[0][0]} != {different[0][1]}")
     return problems
+
+
+def plan_of(df) -> str:
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
