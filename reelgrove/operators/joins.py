@@ -2,14 +2,14 @@
 
 Catalyst broadcasts a side it knows to be small. Past that limit the join is
 shuffled, and a key holding a large share of the rows would land in one task.
-``lookup_join`` finds such keys with Spark's one-pass frequent-item sketch, which
-keeps a bounded number of counters and misses no key above its support, and
-spreads only those keys over several salts. A key counts as hot once it outweighs
+``lookup_join`` finds such keys in one pass with Spark's frequent-item sketch, which
+keeps a bounded number of counters, and spreads only those keys over several salts. A key counts as hot once it outweighs
 a few average shuffle partitions.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 _SALT = "__salt"
 _MIN_SUPPORT = 2e-4
 _MAX_SUPPORT = 0.2
+_TRACKED = 10_000
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -72,19 +73,17 @@ def key_code(keys: Sequence[str], types: Sequence) -> Column:
 
 
 def frequent_codes(keys: DataFrame, types: Sequence, support: float) -> list[int]:
-    """Codes of the rows with at least ``support`` of the rows; at most ``1 / support``.
+    """Codes of the rows with at least ``support`` of all rows; at most ``1 / support``.
 
-    The sketch names the candidates in one pass, a count of just those confirms them.
-    Either brings back at most ``1 / support`` numbers.
+    One pass with a sketch of bounded size, whose counts are off by less than the
+    smallest support in use.
     """
     codes = keys.dropna().select(key_code(keys.columns, types).alias("code"))
-    candidates = codes.freqItems(["code"], support).first()[0]
-    if not candidates:
-        return []
-    named = F.when(F.col("code").isin(candidates), F.col("code"))
-    counts = codes.groupBy(named.alias("code")).count().collect()
-    enough = support * sum(r["count"] for r in counts)
-    return sorted(r["code"] for r in counts if r["code"] is not None and r["count"] >= enough)
+    most = math.ceil(1 / support)
+    top, total = codes.agg(
+        F.expr(f"approx_top_k(code, {most}, {_TRACKED})"), F.count("*")
+    ).first()
+    return sorted(t["item"] for t in top if t["count"] >= support * total)
 
 
 def row_salt(df: DataFrame, salts: int) -> Column:

@@ -58,10 +58,14 @@ def gold_interactions(
     users: DataFrame,
     item_columns: Sequence[str] = ("genre", "release_year"),
     user_columns: Sequence[str] = ("country", "age"),
+    item_keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Every interaction with facts about its item and its user, where known."""
     with_items = lookup_join(
-        interactions, items.select("content_id", *item_columns), "content_id"
+        interactions,
+        items.select("content_id", *item_columns),
+        "content_id",
+        keys_from=item_keys_from,
     )
     return lookup_join(
         with_items, users.select("user_id", *user_columns), "user_id", keys_from=interactions

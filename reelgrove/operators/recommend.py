@@ -42,12 +42,17 @@ def retrieve_by_seed(
 ) -> DataFrame:
     """Add ``candidates`` and ``retrieved_by`` to users with a ``seed_content_id``.
 
-    Neighbours are searched once per distinct seed. Users whose seed has no vector take
+    Neighbours are searched once per distinct seed: exactly, which suits up to some ten
+    thousand items, or in ``n_probe`` cells each. ``vectors`` should be a table, as the
+    search reads it several times. Users whose seed has no vector take
     ``fallback`` (user_id, candidates), and users absent there the ``popular`` row.
     """
     seeds = users.select(F.col("seed_content_id").alias("content_id")).distinct()
-    queries = seeds.join(vectors, "content_id").select(
-        F.col("content_id").alias("seed_content_id"), "embedding"
+    queries = stored(
+        seeds.join(vectors, "content_id").select(
+            F.col("content_id").alias("seed_content_id"), "embedding"
+        ),
+        "seed_vectors",
     )
     search = dict(query_id="seed_content_id", item_id="content_id", **options)
     near = (

@@ -70,6 +70,12 @@ def silver_interactions(spark: SparkSession, folder: str) -> DataFrame:
     return medallion.silver_interactions(interactions(spark, folder))
 
 
+def _watched_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Item ids as often as they are watched, without the join to orders."""
+    lines = read_table(spark, folder, "lineitem")
+    return lines.select(F.col("l_partkey").alias("content_id"))
+
+
 def gold_interactions(spark: SparkSession, folder: str) -> DataFrame:
     """Gold interactions with ``completed``, unknown where the item was rejected."""
     gold = medallion.gold_interactions(
@@ -77,6 +83,7 @@ def gold_interactions(spark: SparkSession, folder: str) -> DataFrame:
         silver_items(spark, folder),
         silver_users(spark, folder),
         item_columns=("genre", "release_year", "duration_min"),
+        item_keys_from=_watched_keys(spark, folder),
     )
     return derive_completed(gold, completed_flag("watch_seconds", "duration_min")).drop(
         "duration_min"
@@ -89,6 +96,7 @@ def viewed_items(spark: SparkSession, folder: str) -> DataFrame:
         silver_interactions(spark, folder),
         silver_items(spark, folder).select("content_id", "genre", "duration_min"),
         "content_id",
+        keys_from=_watched_keys(spark, folder),
     )
     return derive_completed(joined, completed_flag("watch_seconds", "duration_min")).drop(
         "duration_min"
