@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from reelgrove.operators.joins import source_bytes
 from reelgrove.plans.registry import query
 from reelgrove.session import shared_dir
 from reelgrove.sources import sample_views as v
@@ -61,11 +62,16 @@ def stream_equals_batch(spark, folder):
             v.interactions(spark, folder), F.col("device") == "A", "user_id", "watch_seconds",
         ),
     }
+    # One state partition per 32 MB of dimension rows, within reason for a small table.
+    size = sum(source_bytes(sources[t][0]) for t in ("users", "items"))
+    partitions = max(4, size // (32 * 1024 * 1024))
     for first in (True, False):
         for name, (rows, part, _, _) in sources.items():
             chosen = F.coalesce(part, F.lit(False)) == F.lit(first)
             write_parquet(rows.where(chosen), f"{base}/landing/{name}", mode="append")
-        ingest.run_medallion(spark, f"{base}/landing", f"{base}/lake", f"{base}/checkpoints")
+        ingest.run_medallion(
+            spark, f"{base}/landing", f"{base}/lake", f"{base}/checkpoints", partitions
+        )
     sums = [
         spark.read.parquet(f"{base}/lake/silver_{name}").agg(
             F.lit(name).alias("table_name"),

@@ -74,6 +74,14 @@ def read_evolved(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(target)
 
 
+# Session settings for streams that remember very many keys.
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 SILVER = {
     "users": ("user_id", USER_RULES),
     "items": ("content_id", ITEM_RULES),
@@ -106,24 +114,28 @@ def stream_silver(
     watermark: tuple[str, str] | None = None,
     name: str = "quality",
     salts: int = 16,
+    state_partitions: int | None = None,
 ) -> dict[str, int]:
     """Bronze to silver: first row per key, failure counts, dropping rules.
 
     Without a watermark every key ever seen is remembered, which suits dimension
-    tables; the RocksDB state store keeps that off the heap. With a watermark
+    tables; ``ROCKSDB_STATE`` keeps many keys off the heap. With a watermark
     (column, delay) only keys inside the delay are. Copies are first dropped per key and
     salt, so that one key with very many copies is not read by a single task; ``salts=1``
-    leaves that step out. Returns the failures per rule.
+    leaves that step out. The first run fixes the number of state partitions:
+    ``state_partitions``, or the session's shuffle partitions. Returns the failures per
+    rule.
     """
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
     rows = spark.readStream.schema(landed_schema(spark, bronze)).parquet(bronze)
     if key:
         rows = _first_per_key(rows, key, watermark, salts)
     checked = expect_or_drop(expect_warn(rows, rules, name), rules)
-    query = drain(checked, target, checkpoint)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
+    try:
+        query = drain(checked, target, checkpoint)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     counts: dict[str, int] = {}
     for progress in query.recentProgress:
         metrics = progress["observedMetrics"].get(name)
@@ -133,7 +145,13 @@ def stream_silver(
     return counts
 
 
-def run_medallion(spark: SparkSession, landing: str, lake: str, checkpoints: str) -> dict:
+def run_medallion(
+    spark: SparkSession,
+    landing: str,
+    lake: str,
+    checkpoints: str,
+    state_partitions: int | None = None,
+) -> dict:
     """Landed users, items and interactions to silver; one triggered run of all six streams."""
     report = {}
     for table, (key, rules) in SILVER.items():
@@ -147,6 +165,7 @@ def run_medallion(spark: SparkSession, landing: str, lake: str, checkpoints: str
             f"{checkpoints}/silver_{table}",
             rules,
             key,
+            state_partitions=state_partitions,
         )
     return report
 
