@@ -137,13 +137,13 @@ def test_clustered_files_do_not_overlap(spark):
 
 
 def test_listing_by_prefix(spark):
-    for name in ("silver_b", "silver_a", "other_c"):
+    for name in ("listed_b", "listed_a", "other_c"):
         spark.range(1).createOrReplaceTempView(name)
     try:
-        listed = [r.table_name for r in tables.table_listing(spark, ["silver_"]).collect()]
-        assert listed == ["silver_a", "silver_b"]
+        listed = [r.table_name for r in tables.table_listing(spark, ["listed_"]).collect()]
+        assert listed == ["listed_a", "listed_b"]
     finally:
-        for name in ("silver_b", "silver_a", "other_c"):
+        for name in ("listed_b", "listed_a", "other_c"):
             spark.catalog.dropTempView(name)
 
 
