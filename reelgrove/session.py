@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,7 @@ RUNTIME_SETTINGS = {
 }
 
 _local_fallback: str | None = None
+_shipped_to: set[str] = set()
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -70,3 +72,25 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, for functions that run in Python workers.
+
+    Spark serves the archive to every executor, also to one that joins later. Done once
+    per application; a job submitted with ``--py-files`` or an installed package gets the
+    same code twice, which does no harm.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped_to:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), "reelgrove.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped_to.add(app)
