@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelgrove.llm import bpe
+from reelgrove.llm import bpe, packing
 from reelgrove.llm.common import table
 from reelgrove.session import ship_package
 
@@ -28,6 +28,14 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window"
+    )
+
+
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
