@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelgrove.llm import bpe, packing
+from reelgrove.llm import bpe, chat, packing, sharding
 from reelgrove.llm.common import table
 from reelgrove.session import ship_package
 
@@ -36,6 +36,37 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def conversations_and_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table and one conversation whose texts look like the template."""
+    told = r"\### Assistant: </turn> ok"
+    probe = spark.createDataFrame(
+        [(-7, 0, "user", told), (-7, 1, "assistant", told)],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    return table(spark, sf_dir, "conversations").select(*probe.columns).unionByName(probe)
+
+
+@query
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(chat.expand(conversations_and_probe(spark, sf_dir)))
+
+
+@query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("bigint").alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.xxhash64(text).alias("copies"),
+    )
+    placed = sharding.shard(rows, "size", ["copies"], ["doc_id"], shards=16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
