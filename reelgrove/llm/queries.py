@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelgrove.llm import bpe, chat, packing, sharding
+from reelgrove.llm import bpe, chat, fingerprints, packing, sharding
 from reelgrove.llm.common import table
 from reelgrove.session import ship_package
 
@@ -28,6 +28,14 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = fingerprints.compare_with_edit(table(spark, sf_dir, "documents"))
+    return marked.withColumns(
+        {c: fingerprints.as_text(F.col(c)) for c in ("fingerprint", "edited_fingerprint")}
+    )
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
