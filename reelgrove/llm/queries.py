@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelgrove.llm import bpe, chat, fingerprints, packing, sharding
+from reelgrove.llm import bpe, chat, fingerprints, ngram_join, packing, sharding
 from reelgrove.llm.common import table
 from reelgrove.session import ship_package
 
@@ -75,6 +75,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = ngram_join.near_classes(table(spark, sf_dir, "documents"), threshold=0.8, n=5)
+    return near.select("doc_id", "class_id", "n_links", "copy_of")
+
+
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
