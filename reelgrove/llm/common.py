@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from reelgrove.session import shared_dir
 
@@ -41,6 +41,13 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
         yield batch.slice(int(start), int(end - start))
 
 
+def appended(df: DataFrame, run: Callable, fields: Sequence[T.StructField]) -> DataFrame:
+    """All columns of ``df`` and the new ones that ``run`` puts behind them, batch by batch."""
+    names = {f.name for f in fields}
+    rest = df.select([F.col(f"`{c}`") for c in df.columns if c not in names])
+    return rest.mapInArrow(run, T.StructType([*rest.schema.fields, *fields]))
+
+
 def text_values(array: pa.Array) -> list[str]:
     """The texts, NULL as empty."""
     return [t or "" for t in array.to_pylist()]

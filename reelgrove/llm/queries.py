@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelgrove.llm import bpe, chat, fingerprints, ngram_join, packing, sharding
+from reelgrove.llm import bpe, chat, fingerprints, langid, ngram_join, packing, pii, sharding
 from reelgrove.llm.common import table
 from reelgrove.session import ship_package
 
@@ -75,12 +75,42 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+HELD_OUT = "pmod(crc32(cast(cast(doc_id as string) as binary)), 5) = 0"
+# A deployment takes its own secret; pseudonyms of different keys cannot be linked.
+PII_KEY = b"replace this key"
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs.where(f"not ({HELD_OUT})"))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        F.size("lang_spans").alias("n_spans"),
+    )
+
+
 @query
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = ngram_join.near_classes(table(spark, sf_dir, "documents"), threshold=0.8, n=5)
     return near.select("doc_id", "class_id", "n_links", "copy_of")
 
 
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY).select(
+        "doc_id",
+        "text",
+        F.size("pii_spans").alias("n_pii"),
+        F.array_sort(F.array_distinct("pii_spans.kind")).alias("kinds"),
+    )
+
+
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
