@@ -2,18 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from reelgrove.llm import langid, ngram_join, packing, pii
 from reelgrove.session import shared_dir, ship_package
 
-STAGES = []
+# Below this share of letters in its main language a document has no language.
+LEAST_LANGUAGE_SHARE = 0.4
+PII_KEY = b"replace this key"
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents with a language; the model is learnt from their own labels.
+
+    Documents without a letter and those of no main language go. ``lang`` becomes the
+    predicted language where it was NULL.
+    """
+    ship_package(spark)
+    model = langid.learn(docs)
+    found = langid.identify(docs, model).where(
+        (F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_score") >= LEAST_LANGUAGE_SHARE)
+    )
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the least id of every class of near copies."""
+    ship_package(spark)
+    return ngram_join.one_per_class(docs)
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data in all texts; ``n_chars`` follows the new text."""
+    ship_package(spark)
+    masked = pii.pseudonymise(docs, PII_KEY).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    return masked.select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1,024 tokens."""
+    ship_package(spark)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("private_data", private_data),
+    ("packing", pack),
+]
 
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each result is written and read again."""
-    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = shared_dir(spark, f"stage-{name}")

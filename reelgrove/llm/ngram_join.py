@@ -115,7 +115,7 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _compare(threshold: float):
-    def run(table: pa.Table) -> pa.Table:
+    def run(table):
         node = table.column("node").to_numpy()
         copies = table.column("copies").to_numpy()
         block = table.column("block").to_numpy()
@@ -242,3 +242,32 @@ def near_classes(
         F.col("key").alias("text_md5"),
         (~has_words | (F.col("is_first") & F.col("id").eqNullSafe(F.col("first_id")))).alias("first_of_class"),
     )
+
+
+def one_per_class(
+    docs: DataFrame, threshold: float = 0.8, n: int = 5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` without near copies: of every class the row with the least id.
+
+    Rows that repeat id and text of a kept row go as well. Texts without words are all
+    kept. All columns are kept.
+    """
+    near = near_classes(docs, threshold, n=n, id_col=id_col, text_col=text_col)
+    chosen = near.where("first_of_class").select(
+        F.col("text_md5").alias("__key"), F.col(id_col).alias("__id")
+    )
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    keyed = docs.withColumns({
+        "__text_key": F.md5(text),
+        # Copies of one row are told apart only where all of them are kept.
+        "__spare": F.when(text.rlike(r"\S"), F.lit(-1).cast("bigint")).otherwise(F.monotonically_increasing_id()),
+    })
+    return (
+        keyed.join(
+            chosen,
+            (F.col("__text_key") == F.col("__key")) & F.col(f"`{id_col}`").eqNullSafe(F.col("__id")),
+            "left_semi",
+        )
+        .dropDuplicates(["__text_key", id_col, "__spare"])
+        .select([F.col(f"`{c}`") for c in docs.columns])
+    )

@@ -165,11 +165,16 @@ def date(f: Feistel, found: str) -> str | None:
 
 
 def email(f: Feistel, found: str) -> str | None:
+    """All but the last label, by the lower-case form; capitals stay capitals."""
     name, _, end = found.rpartition(".")
-    return f"{_characters(f, 'email', name.lower())}.{end}"
+    new = _characters(f, "email", name.lower())
+    return "".join(n.upper() if o.isupper() else n for o, n in zip(name, new)) + "." + end
 
 
 def secret(f: Feistel, found: str) -> str | None:
+    if re.fullmatch("[0-9a-f]+", found):
+        size = len(found)
+        return f"{f.permute('hex', int(found, 16), 16**size):0{size}x}"
     return _characters(f, "secret", found)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelgrove.llm import bpe, chat, fingerprints, langid, ngram_join, packing, pii, sharding
+from reelgrove.llm import bpe, chat, fingerprints, langid, mtree, ngram_join, packing, pii, sharding
 from reelgrove.llm.common import table
 from reelgrove.session import ship_package
 
@@ -28,6 +28,35 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op2_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    vectors = table(spark, sf_dir, "embeddings").where(finite).select(
+        "vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 64)).alias("vector")
+    )
+    return mtree.top_k(vectors, "vec_id % 20 = 0", k=20)
+
+
+ORACLE["op2_mtree"] = """
+WITH v AS (
+    SELECT row_number() OVER () AS rn, vec_id,
+           [CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, q.rn, c.vec_id, c.rn AS crn, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.rn <> c.rn
+    WHERE q.vec_id % 20 = 0
+), r AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY rn ORDER BY score DESC, vec_id, crn) AS INTEGER) AS rank,
+           vec_id, score
+    FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 @query
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = fingerprints.compare_with_edit(table(spark, sf_dir, "documents"))
