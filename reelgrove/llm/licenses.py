@@ -3,7 +3,7 @@
 A paragraph's words give hashed features of one to three words. A multinomial logistic
 regression, trained here, tells licence families from ordinary text. Its probabilities are
 calibrated with a temperature on held-out examples; the same examples set the probability
-below which a likely notice is ``unknown``. A predicted family holds only if the paragraph
+below which a likely notice is ``unknown``, held-out prose the one that makes a notice. A predicted family holds only if the paragraph
 also contains enough of the word pairs of one of its notice templates.
 """
 
@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from reelgrove.llm.common import appended, code64, mixed, slices
+from reelgrove.llm.common import appended, code64, mixed, slices, words_of
 
 BUCKETS = 1 << 17
 WINDOW, STRIDE = 64, 32
@@ -78,8 +78,258 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float
-    threshold: float
+    threshold: float  # of the family's probability, below it the licence is unknown
+    notice: float  # of all families' probability, below it a window is ordinary text
 
 
-def words_in(texts: pa.Array) -> tuple[list[list[str]], None]:
-    raise NotImplementedError
+@dataclass
+class Units:
+    """Windows over the paragraphs of some texts: where their words lie, and whose they are."""
+
+    words: np.ndarray  # a code of every word
+    coded: pa.DictionaryArray
+    first: np.ndarray
+    last: np.ndarray  # behind the last word
+    paragraph: np.ndarray
+    text: np.ndarray
+
+
+def units(texts: pa.Array) -> Units:
+    """Lower-cased words of letters and digits, in windows that no line end crosses.
+
+    A paragraph above ``WINDOW`` words has windows every ``STRIDE`` words up to its end.
+    """
+    plain = pc.replace_substring_regex(
+        pc.utf8_lower(pc.fill_null(texts, "")), r"[^\p{L}\p{N}\n]+", " "
+    )
+    lines = pc.split_pattern(plain, "\n")
+    line_ends = lines.offsets.to_numpy().astype(np.int64)
+    line_ends -= line_ends[0]
+    coded, offsets = words_of(lines.flatten())
+    sizes = np.diff(offsets)
+    count = np.where(sizes > WINDOW, -(-(sizes - WINDOW) // STRIDE) + 1, (sizes > 0).astype(np.int64))
+    line = np.repeat(np.arange(len(sizes)), count)
+    rank = np.arange(len(line)) - np.repeat(np.cumsum(count) - count, count)
+    inside = np.minimum(rank * STRIDE, np.maximum(sizes[line] - WINDOW, 0))
+    first = offsets[:-1][line] + inside
+    text = np.searchsorted(line_ends, line, "right") - 1
+    return Units(
+        code64(coded.dictionary.to_pylist())[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.uint64),
+        coded,
+        first,
+        np.minimum(first + WINDOW, offsets[1:][line]),
+        line - line_ends[text],
+        text,
+    )
+
+
+def gram_buckets(words: np.ndarray, n: int) -> np.ndarray:
+    """Feature of the ``n`` words from every place; the last ``n - 1`` places have none."""
+    code = np.full(max(0, len(words) - n + 1), np.uint64(n), np.uint64)
+    for k in range(n):
+        code = mixed(code + words[k : len(words) - n + 1 + k])
+    return (code % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def window_sums(u: Units, weights: np.ndarray) -> np.ndarray:
+    """Sum of the weights of all features of every window, over the root of their number."""
+    size = u.last - u.first
+    out = np.zeros((len(u.first), weights.shape[1]))
+    features = np.zeros(len(u.first))
+    for n in (1, 2, 3):
+        sums = np.zeros((len(u.words) + 1, weights.shape[1]))
+        values = weights[gram_buckets(u.words, n)]
+        np.cumsum(values, axis=0, out=sums[1 : len(values) + 1])
+        grams = np.maximum(size - n + 1, 0)
+        out += np.where(grams[:, None] > 0, sums[np.minimum(u.first + grams, len(values))] - sums[np.minimum(u.first, len(values))], 0)
+        features += grams
+    return out / np.sqrt(np.maximum(features, 1))[:, None]
+
+
+def softmax(x: np.ndarray) -> np.ndarray:
+    e = np.exp(x - x.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def notice_examples(prose: list[str], seed: int = 5) -> list[tuple[str, str]]:
+    """Variants of every family's notices: cropped, with words lost, inside ordinary prose."""
+    rng = random.Random(seed)
+    filler = " ".join(prose[:200]).split() or ["text"]
+    out = []
+    for family in sorted({t[0] for t in TEMPLATES}):
+        texts = [t[2] for t in TEMPLATES if t[0] == family]
+        for i in range(VARIANTS):
+            words = texts[i % len(texts)].split()
+            if len(words) > 12 and rng.random() < 0.6:
+                size = rng.randint(max(10, len(words) * 6 // 10), len(words))
+                at = rng.randint(0, len(words) - size)
+                words = words[at : at + size]
+            if len(words) > 8:
+                words = [w for w in words if rng.random() > 0.05]
+            if rng.random() < 0.5:
+                at = rng.randrange(len(filler))
+                words = filler[at : at + rng.randint(1, 24)] + words
+            if rng.random() < 0.5:
+                at = rng.randrange(len(filler))
+                words = words + filler[at : at + rng.randint(1, 24)]
+            out.append((" ".join(words)[: 1 << 12], family))
+    return out
+
+
+def train(prose: list[str], rounds: int = 60) -> Model:
+    """Fit and calibrate on notice variants and a bounded sample of ordinary paragraphs."""
+    examples = notice_examples(prose) + [(t, NONE) for t in prose] + [(t, NONE) for t in LOOKALIKES * 10]
+    classes = [NONE, *sorted({t[0] for t in TEMPLATES})]
+    u = units(pa.array([t.replace("\n", " ") for t, _ in examples]))
+    truth = np.array([classes.index(c) for _, c in examples])[u.text]
+    held = u.text % 5 == 4
+    rows, columns = [], []
+    for n in (1, 2, 3):
+        buckets = gram_buckets(u.words, n)
+        grams = np.maximum(u.last - u.first - n + 1, 0)
+        row = np.repeat(np.arange(len(u.first)), grams)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(grams) - grams, grams) + u.first[row]
+        rows.append(row)
+        columns.append(buckets[place])
+    rows, columns = np.concatenate(rows), np.concatenate(columns)
+    value = 1 / np.sqrt(np.maximum(np.bincount(rows, minlength=len(u.first)), 1))
+    used = ~held[rows]
+    order = np.argsort(columns[used], kind="stable")
+    row, column = rows[used][order], columns[used][order]
+    starts = np.flatnonzero(np.r_[True, column[1:] != column[:-1]])
+    known = column[starts]
+    local = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(column)]))
+    by_row = np.argsort(row, kind="stable")
+    row_starts = np.flatnonzero(np.r_[True, row[by_row][1:] != row[by_row][:-1]])
+    own = row[by_row][row_starts]
+
+    target = np.eye(len(classes))[truth[own]]
+    balance = 1 / np.maximum(target.sum(axis=0), 1)
+    balance[1:] /= max(1, (target.sum(axis=0)[1:] > 0).sum())  # notices weigh as much as prose
+    importance = (target * balance).sum(axis=1, keepdims=True) / 2
+    w = np.zeros((len(known), len(classes)))
+    bias = np.zeros(len(classes))
+    size_w, size_b = np.full_like(w, 1e-8), np.full_like(bias, 1e-8)
+    for _ in range(rounds):  # full-batch AdaGrad
+        logits = np.add.reduceat(w[local[by_row]], row_starts, axis=0) * value[own][:, None] + bias
+        error = (softmax(logits) - target) * importance
+        spread = np.zeros((len(u.first), len(classes)))
+        spread[own] = error * value[own][:, None]
+        grad = np.add.reduceat(spread[row], starts, axis=0) + 1e-7 * w
+        size_w += grad * grad
+        w -= 0.5 * grad / np.sqrt(size_w)
+        grad = error.sum(axis=0)
+        size_b += grad * grad
+        bias -= 0.1 * grad / np.sqrt(size_b)
+    weights = np.zeros((BUCKETS, len(classes)), np.float32)
+    weights[known] = w
+
+    logits = window_sums(u, weights)[held] + bias
+    truth = truth[held]
+    pick = np.arange(len(truth))
+    temperature = min(
+        (0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0),
+        key=lambda t: -np.log(softmax(logits / t)[pick, truth] + 1e-12).mean(),
+    )
+    chance = softmax(logits / temperature)
+    sure = chance[pick, truth][truth > 0]
+    threshold = float(np.clip(np.quantile(sure, 0.02), 0.3, 0.9)) if len(sure) else 0.5
+    doubt = 1 - chance[truth == 0, 0]
+    notice = float(np.clip(np.quantile(doubt, 0.999), 0.5, 0.95)) if len(doubt) else 0.5
+    return Model(classes, weights, bias, temperature, threshold, notice)
+
+
+def similarity(words: list[str], family: str) -> tuple[float, str | None]:
+    """The best share of word pairs in common with the family's templates, and which one."""
+    own = set(zip(words, words[1:]))
+    best: tuple[float, str | None] = (0.0, None)
+    for name, identifier, pairs in _template_pairs():
+        both = len(own & pairs)
+        if name == family and both >= 3:
+            best = max(best, (both / min(len(own), len(pairs)), identifier), key=lambda x: x[0])
+    return best
+
+
+_pairs: list[tuple[str, str, set]] = []
+
+
+def _template_pairs() -> list[tuple[str, str, set]]:
+    if not _pairs:
+        u = units(pa.array([t[2] for t in TEMPLATES]))
+        words = np.array(u.coded.to_pylist(), object)
+        owner = {}
+        for i, text in enumerate(u.text):
+            owner.setdefault(text, set()).update(range(u.first[i], u.last[i]))
+        for i, (family, identifier, _) in enumerate(TEMPLATES):
+            own = [words[j] for j in sorted(owner[i])]
+            _pairs.append((family, identifier, set(zip(own, own[1:]))))
+    return _pairs
+
+
+FIELDS = [
+    ("paragraph", T.IntegerType(), pa.int32()),
+    ("family", T.StringType(), pa.string()),
+    ("license", T.StringType(), pa.string()),
+    ("probability", T.DoubleType(), pa.float64()),
+    ("similarity", T.DoubleType(), pa.float64()),
+]
+NOTICES = T.ArrayType(T.StructType([T.StructField(n, t) for n, t, _ in FIELDS]))
+_NOTICES = pa.list_(pa.struct([(n, a) for n, _, a in FIELDS]))
+
+
+def notices(model: Model, texts: pa.Array) -> list[list[dict]]:
+    """Per text its notices in order; the surest window stands for a paragraph."""
+    out: list[list[dict]] = [[] for _ in range(len(texts))]
+    u = units(texts)
+    if not len(u.first):
+        return out
+    chance = softmax((window_sums(u, model.weights) + model.bias) / model.temperature)
+    best: dict[tuple[int, int], tuple] = {}
+    for i in np.flatnonzero(1 - chance[:, 0] >= model.notice):
+        c = int(chance[i, 1:].argmax()) + 1
+        words = u.coded[u.first[i] : u.last[i]].to_pylist()
+        share, identifier = similarity(words, model.classes[c])
+        firm = chance[i, c] >= model.threshold and share >= MIN_SIMILARITY
+        found = (bool(firm), float(chance[i, c]), model.classes[c], identifier if firm else UNKNOWN, float(share))
+        place = (int(u.text[i]), int(u.paragraph[i]))
+        best[place] = max(best.get(place, found), found, key=lambda x: x[:2])
+    for (text, paragraph), (_, p, family, identifier, share) in sorted(best.items()):
+        out[text].append({"paragraph": paragraph, "family": family, "license": identifier, "probability": p, "similarity": share})
+    return out
+
+
+def prose_sample(docs: DataFrame, bound: int = SAMPLE_DOCS, text_col: str = "text") -> list[str]:
+    """Windows of ordinary paragraphs, at most about two from each of ``bound`` documents.
+
+    Documents are chosen by a hash of their text; paragraphs with licence-like words are
+    left out, which is the only label that ordinary text has.
+    """
+    texts = docs.where(F.col(f"`{text_col}`").isNotNull()).select(F.col(f"`{text_col}`").alias("text"))
+    every = max(1, texts.count() // bound)
+    lines = F.filter(F.split("text", "\n"), lambda x: ~x.rlike(CUES) & (F.length(x) > 0))
+    rows = (
+        texts.where(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(every)) == 0)
+        .select(F.explode(F.slice(F.array_sort(lines), 1, 2)).alias("line"))
+        .select(F.substring("line", 1, 400).alias("line"))
+        .orderBy(F.xxhash64("line"))
+        .limit(2 * bound)
+    )
+    return sorted(r["line"] for r in rows.collect())
+
+
+def scan(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """Add ``license_notices`` to every row: paragraph (line from 0), family, licence, scores.
+
+    ``license`` is the identifier of the template that confirms the predicted family, or
+    ``unknown`` where the calibrated probability or the likeness to a template is too low.
+    The list is empty without a notice, also for NULL and empty texts. Whole texts are
+    read, long paragraphs in overlapping windows. All other columns and rows are kept; a
+    column of that name is replaced. Row by row, nothing is shuffled.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cut in slices(batch, text_col, 2 << 20):
+                yield cut.append_column("license_notices", pa.array(notices(model, cut.column(text_col)), _NOTICES))
+
+    return appended(docs, run, [T.StructField("license_notices", NOTICES)])

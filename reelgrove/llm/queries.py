@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelgrove.llm import bpe, chat, fingerprints, langid, mtree, ngram_join, packing, pii, sharding
+from reelgrove.llm import bpe, chat, fingerprints, langid, licenses, mtree, ngram_join, packing, pii, sharding
 from reelgrove.llm.common import table
 from reelgrove.session import ship_package
 
@@ -28,6 +28,28 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.train(licenses.prose_sample(docs)))
+    known = F.filter("license_notices", lambda n: n["license"] != licenses.UNKNOWN)
+    surest = F.array_max(
+        F.transform(
+            F.when(F.size(known) > 0, known).otherwise(F.col("license_notices")),
+            lambda n: F.struct(n["probability"], (-n["paragraph"]).alias("place"), n["license"], n["family"], n["similarity"]),
+        )
+    )
+    return found.select("doc_id", F.size("license_notices").alias("n_notices"), surest.alias("n")).select(
+        "doc_id",
+        F.coalesce("n.license", F.lit(licenses.NONE)).alias("license"),
+        F.col("n.family").alias("family"),
+        "n_notices",
+        F.round("n.probability", 4).alias("probability"),
+        F.round("n.similarity", 4).alias("similarity"),
+        (-F.col("n.place")).alias("paragraph"),
+    )
+
+
 @query
 def op2_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
