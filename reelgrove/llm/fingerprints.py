@@ -3,8 +3,9 @@
 Each word shingle is hashed once. The hash's high bits choose one of ``BINS`` bins and each
 bin keeps its least hash. An empty bin takes over another's: a fixed sequence of bins is
 probed for it, first four by hash of (bin, attempt), then all others in hash order, and the
-first that is filled is taken, so that every filled bin is as likely. The low ``BITS`` bits of
-all bins are stored, sixteen bins to a 64-bit number. Unequal hashes agree in those bits by
+first that is filled is taken, so that every filled bin is as likely. What is taken is hashed
+with the bin's number, so that the copies of one value do not agree by chance all together.
+The low ``BITS`` bits of all bins are stored, sixteen bins to a 64-bit number. Unequal hashes agree in those bits by
 chance, so likeness is ``(p - c) / (1 - c)`` of the share ``p`` of equal bins, with
 ``c = 2 ** -BITS``.
 """
@@ -69,7 +70,8 @@ def densified(bins: Column) -> Column:
             def one(j: Column) -> Column:
                 probes = [F.get(full, F.pmod(F.xxhash64(j, F.lit(t)), F.lit(BINS)).cast("int")) for t in range(_PROBES)]
                 ranked = F.array_min(F.transform(there, lambda c: F.struct(F.xxhash64(j, c, F.lit(-1)).alias("rank"), c.alias("donor"))))
-                return F.coalesce(F.get(full, j), *probes, F.get(full, ranked["donor"]))
+                taken = F.coalesce(*probes, F.get(full, ranked["donor"]))
+                return F.coalesce(F.get(full, j), F.xxhash64(taken, j))
 
             return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), one)
 
