@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from reelgrove.llm.common import appended, code64, mixed, slices, words_of
 
 BUCKETS = 1 << 17
-WINDOW, STRIDE = 64, 32
+WINDOW, STRIDE = 32, 16
 SAMPLE_DOCS = 2000
 VARIANTS = 80
 MIN_SIMILARITY = 0.6
+COMMON = 0.005  # share of ordinary windows above which a feature tells nothing
 NONE, UNKNOWN = "none", "unknown"
 CUES = r"(?i)licen[sc]|copyright|warrant|redistribut|permission|spdx|creative commons|public domain|gnu "
 
@@ -132,18 +133,16 @@ def gram_buckets(words: np.ndarray, n: int) -> np.ndarray:
 
 
 def window_sums(u: Units, weights: np.ndarray) -> np.ndarray:
-    """Sum of the weights of all features of every window, over the root of their number."""
+    """Sum of the weights of all features of every window."""
     size = u.last - u.first
     out = np.zeros((len(u.first), weights.shape[1]))
-    features = np.zeros(len(u.first))
     for n in (1, 2, 3):
         sums = np.zeros((len(u.words) + 1, weights.shape[1]))
         values = weights[gram_buckets(u.words, n)]
         np.cumsum(values, axis=0, out=sums[1 : len(values) + 1])
         grams = np.maximum(size - n + 1, 0)
         out += np.where(grams[:, None] > 0, sums[np.minimum(u.first + grams, len(values))] - sums[np.minimum(u.first, len(values))], 0)
-        features += grams
-    return out / np.sqrt(np.maximum(features, 1))[:, None]
+    return out
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -176,7 +175,7 @@ def notice_examples(prose: list[str], seed: int = 5) -> list[tuple[str, str]]:
     return out
 
 
-def train(prose: list[str], rounds: int = 60) -> Model:
+def train(prose: list[str], rounds: int = 100) -> Model:
     """Fit and calibrate on notice variants and a bounded sample of ordinary paragraphs."""
     examples = notice_examples(prose) + [(t, NONE) for t in prose] + [(t, NONE) for t in LOOKALIKES * 10]
     classes = [NONE, *sorted({t[0] for t in TEMPLATES})]
@@ -192,8 +191,13 @@ def train(prose: list[str], rounds: int = 60) -> Model:
         rows.append(row)
         columns.append(buckets[place])
     rows, columns = np.concatenate(rows), np.concatenate(columns)
-    value = 1 / np.sqrt(np.maximum(np.bincount(rows, minlength=len(u.first)), 1))
-    used = ~held[rows]
+    # Only words of the templates tell anything, and of those not the ones common in prose.
+    notice_words = units(pa.array([t[2] for t in TEMPLATES])).words
+    telling = np.unique(np.concatenate([gram_buckets(notice_words, n) for n in (1, 2, 3)]))
+    in_prose = (truth[rows] == 0) & ~held[rows]
+    pairs = np.unique(rows[in_prose] * np.int64(BUCKETS) + columns[in_prose])
+    common = np.bincount(pairs % BUCKETS, minlength=BUCKETS) > COMMON * max(1, (truth == 0).sum())
+    used = ~held[rows] & np.isin(columns, telling) & ~common[columns]
     order = np.argsort(columns[used], kind="stable")
     row, column = rows[used][order], columns[used][order]
     starts = np.flatnonzero(np.r_[True, column[1:] != column[:-1]])
@@ -203,7 +207,7 @@ def train(prose: list[str], rounds: int = 60) -> Model:
     row_starts = np.flatnonzero(np.r_[True, row[by_row][1:] != row[by_row][:-1]])
     own = row[by_row][row_starts]
 
-    target = np.eye(len(classes))[truth[own]]
+    target = np.eye(len(classes))[truth] * ~held[:, None]
     balance = 1 / np.maximum(target.sum(axis=0), 1)
     balance[1:] /= max(1, (target.sum(axis=0)[1:] > 0).sum())  # notices weigh as much as prose
     importance = (target * balance).sum(axis=1, keepdims=True) / 2
@@ -211,11 +215,10 @@ def train(prose: list[str], rounds: int = 60) -> Model:
     bias = np.zeros(len(classes))
     size_w, size_b = np.full_like(w, 1e-8), np.full_like(bias, 1e-8)
     for _ in range(rounds):  # full-batch AdaGrad
-        logits = np.add.reduceat(w[local[by_row]], row_starts, axis=0) * value[own][:, None] + bias
+        logits = bias + np.zeros((len(u.first), 1))
+        logits[own] += np.add.reduceat(w[local[by_row]], row_starts, axis=0)
         error = (softmax(logits) - target) * importance
-        spread = np.zeros((len(u.first), len(classes)))
-        spread[own] = error * value[own][:, None]
-        grad = np.add.reduceat(spread[row], starts, axis=0) + 1e-7 * w
+        grad = np.add.reduceat(error[row], starts, axis=0) + 1e-6 * w
         size_w += grad * grad
         w -= 0.5 * grad / np.sqrt(size_w)
         grad = error.sum(axis=0)
@@ -239,15 +242,20 @@ def train(prose: list[str], rounds: int = 60) -> Model:
     return Model(classes, weights, bias, temperature, threshold, notice)
 
 
-def similarity(words: list[str], family: str) -> tuple[float, str | None]:
-    """The best share of word pairs in common with the family's templates, and which one."""
+def similarity(words: list[str], family: str) -> tuple[float, str | None, int]:
+    """The best share of word pairs in common with the family's templates, and which one.
+
+    The third is the most pairs in common with any template.
+    """
     own = set(zip(words, words[1:]))
     best: tuple[float, str | None] = (0.0, None)
+    most = 0
     for name, identifier, pairs in _template_pairs():
         both = len(own & pairs)
+        most = max(most, both)
         if name == family and both >= 3:
             best = max(best, (both / min(len(own), len(pairs)), identifier), key=lambda x: x[0])
-    return best
+    return *best, most
 
 
 _pairs: list[tuple[str, str, set]] = []
@@ -288,7 +296,9 @@ def notices(model: Model, texts: pa.Array) -> list[list[dict]]:
     for i in np.flatnonzero(1 - chance[:, 0] >= model.notice):
         c = int(chance[i, 1:].argmax()) + 1
         words = u.coded[u.first[i] : u.last[i]].to_pylist()
-        share, identifier = similarity(words, model.classes[c])
+        share, identifier, common = similarity(words, model.classes[c])
+        if common < 2:  # words of notices, but not put together as in one
+            continue
         firm = chance[i, c] >= model.threshold and share >= MIN_SIMILARITY
         found = (bool(firm), float(chance[i, c]), model.classes[c], identifier if firm else UNKNOWN, float(share))
         place = (int(u.text[i]), int(u.paragraph[i]))

@@ -29,6 +29,7 @@ PART_ROWS = 8192
 MAX_CELLS = 1024
 QUERY_BLOCK = 2048
 SLACK = 1e-6
+UNNAMED = (1 << 63) - 1  # stands for a NULL id, so that it comes last
 
 PAGES = (
     "cell int, sub int, page int, is_leaf boolean, rows array<bigint>, ids array<bigint>, "
@@ -102,7 +103,8 @@ def build(points: np.ndarray, page_size: int = PAGE) -> list[dict]:
 def _build_group(dimensions: int, reach: float):
     def run(key, table):
         vectors = _matrix(table.column("vector"), dimensions)
-        rows, ids = (table.column(c).to_numpy() for c in ("row", "vec_id"))
+        rows = table.column("row").to_numpy()
+        ids = table.column("vec_id").combine_chunks().fill_null(UNNAMED).to_numpy()
         pages = build(lifted(vectors, reach))
         return pa.table(
             {
@@ -171,7 +173,7 @@ def _search_group(dimensions: int, reach: float, k: int):
             {
                 "is_leaf": r["is_leaf"],
                 "rows": np.array(r["rows"], np.int64),
-                "ids": np.array([np.iinfo(np.int64).max if i is None else i for i in r["ids"]], np.int64),
+                "ids": np.array(r["ids"], np.int64),
                 "vectors": np.frombuffer(r["vectors"], np.float64).reshape(-1, dimensions),
                 "radii": np.array(r["radii"]),
                 "to_parent": np.array(r["to_parent"]),
@@ -227,9 +229,9 @@ def top_k(
         stored.where(F.pmod(F.xxhash64("row"), F.lit(max(1, count // (8 * cells)))) == 0)
         .select("v", "row").orderBy(F.xxhash64("row")).limit(cells).collect()
     )
-    pivots = np.array([r["v"] + [0.0] * (dimensions - len(r["v"])) for r in sample]).reshape(-1, dimensions)
-    if not len(pivots):
-        pivots = np.zeros((1, dimensions))
+    pivots = np.zeros((max(1, len(sample)), dimensions))
+    for i, r in enumerate(sample):
+        pivots[i, : len(r["v"])] = r["v"]
     lifted_pivots = lifted(pivots, reach)
 
     def place(batches):
@@ -342,7 +344,7 @@ def top_k(
         "routes",
     )
     best = second.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    unnamed = F.col("vec_id") == F.lit((1 << 63) - 1)
+    unnamed = F.col("vec_id") == F.lit(UNNAMED)
     return best.select(
         "query_id", F.col("rank").cast("int").alias("rank"), F.when(~unnamed, F.col("vec_id")).alias("vec_id"), "score"
     )
