@@ -20,6 +20,7 @@ REDACTED = "REDACTED"
 
 RETRIEVED_BY_TEXT = "vector_search"
 RETRIEVED_BY_FACTORS = "two_tower"
+RETRIEVED_BY_POPULARITY = "popular"
 
 PII_TAG = "pii"
 OWNER_TAG = "business_owner"

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from reelgrove.functions import fixed_values as fixed
 from reelgrove.functions.expressions import explanation_messages, fallback_explanation
-from reelgrove.operators.filters import prefix_columns
+from reelgrove.operators.features import side_facts
 from reelgrove.operators.joins import lookup_join
 from reelgrove.operators.lists import diversity_rerank, titles_before
 from reelgrove.operators.models import Ranker
@@ -46,6 +47,7 @@ def retrieve_by_seed(
     thousand items, or in ``n_probe`` cells each. ``vectors`` should be a table, as the
     search reads it several times. Users whose seed has no vector take
     ``fallback`` (user_id, candidates), and users absent there the ``popular`` row.
+    ``retrieved_by`` names which of the three a list came from.
     """
     seeds = users.select(F.col("seed_content_id").alias("content_id")).distinct()
     queries = stored(
@@ -63,6 +65,7 @@ def retrieve_by_seed(
     by_seed = stored(candidate_lists(near, "seed_content_id"), "seed_candidates")
     by_seed = by_seed.withColumnRenamed("candidates", "__near")
     rows = lookup_join(users, by_seed, "seed_content_id")
+    labels = {"__factors": fixed.RETRIEVED_BY_FACTORS}
     choices = [F.col("__near")]
     drop = ["__near"]
     if fallback is not None:
@@ -78,43 +81,35 @@ def retrieve_by_seed(
         rows.withColumn("candidates", F.coalesce(*choices, none))
         .withColumn(
             "retrieved_by",
-            F.when(F.col("__near").isNotNull(), fixed.RETRIEVED_BY_TEXT).otherwise(
-                fixed.RETRIEVED_BY_FACTORS
-            ),
+            reduce(
+                lambda out, c: out.when(F.col(c).isNotNull(), labels[c]),
+                drop[1:],
+                F.when(F.col("__near").isNotNull(), fixed.RETRIEVED_BY_TEXT),
+            ).otherwise(fixed.RETRIEVED_BY_POPULARITY),
         )
         .drop(*drop)
     )
 
 
-# Long or unused columns stay out of the pairs until the lists are cut.
-_LATE = ("title", "synopsis", "language")
-
-
 def user_candidate_pairs(users: DataFrame, item_features: DataFrame) -> DataFrame:
     """Each user with each of its candidates that is a known item, and both feature rows.
 
-    Features carry the training prefixes, so the ranker sees the same columns.
+    The ranker's inputs come from the same function as in training. Titles and texts join
+    later, when the lists are cut.
     """
-    known = [c for c in users.columns if c not in ("candidates", "retrieved_by", "user_id")]
+    facts = [c for c in side_facts(users, "user_id", "u_", ["fav_genre"]).columns if c != "user_id"]
     pairs = users.select(
         "user_id",
-        *[F.col(c).alias(f"u_{c}") for c in known],
+        *[F.col(c.removeprefix("u_")).alias(c) for c in facts],
         "retrieved_by",
         F.explode("candidates").alias("content_id"),
     )
-    narrow = item_features.select([c for c in item_features.columns if c not in _LATE])
-    features = prefix_columns(narrow, "i_").withColumnRenamed("i_content_id", "content_id")
-    return lookup_join(pairs, features, "content_id", "inner")
-
-
-def with_interaction_context(pairs: DataFrame, columns: list[str]) -> DataFrame:
-    """Inputs known only after viewing are missing at scoring time and count as 0."""
-    absent = [c for c in columns if c not in pairs.columns]
-    return pairs.select("*", *[F.lit(0).alias(c) for c in absent])
+    return lookup_join(pairs, side_facts(item_features, "content_id", "i_", ["genre"]), "content_id", "inner")
 
 
 def score_candidates(pairs: DataFrame, ranker: Ranker) -> DataFrame:
-    return ranker.score(with_interaction_context(pairs, ranker.columns))
+    """Add the ranker's score; pairs without one of its inputs are refused."""
+    return ranker.score(pairs)
 
 
 def ranked_lists(

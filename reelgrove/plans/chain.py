@@ -12,22 +12,44 @@ from reelgrove.plans.registry import query
 from reelgrove.session import stored
 from reelgrove.sources import sample_views as v
 
-# A short search: the full space grows up to 200 trees per trial.
-SHORT_SEARCH = dict(trials=3, leaves=(8, 16), trees=(4, 8))
-SHORT_FIT = dict(maxIter=8, maxDepth=4)
+# The search's best point of each application and folder: fitting takes it from there.
+_best_params: dict[tuple[str, str], dict] = {}
 
 
-def _rows(gold, users, items):
+def _rows(spark, folder):
+    """Marked training rows whose user and item facts come from training rows alone."""
+    gold = stored(models.rank_training_split(v.gold_interactions(spark, folder)), "marked_gold")
+    train = gold.where("split = 'train'")
+    users = features.with_age(features.user_features(train), v.silver_users(spark, folder))
+    items = features.item_features(v.silver_items(spark, folder), train)
+    pairs = gold.select("interaction_id", "user_id", "content_id", "completed", "split")
     return stored(
-        models.rank_training_split(features.training_set(gold, users, items)), "training_set"
+        features.ranker_inputs(pairs, stored(users, "train_users"), stored(items, "train_items")),
+        "training_set",
     )
 
 
-def _split(gold, users, items):
-    rows = _rows(gold, users, items)
+def _split(spark, folder):
+    rows = _rows(spark, folder)
     return rows.where("split = 'train'"), rows.where("split = 'test'")
 
 
+def _search(spark, folder):
+    train, test = _split(spark, folder)
+    best, trials = models.ranker_search(train, test)
+    _best_params[spark.sparkContext.applicationId, folder] = best.params
+    return best, trials
+
+
+def _fitted(spark, folder):
+    """A ranker with the search's best settings, and the held-out rows."""
+    place = (spark.sparkContext.applicationId, folder)
+    if place not in _best_params:
+        _search(spark, folder)
+    train, test = _split(spark, folder)
+    return models.ranker_fit(train, **_best_params[place]), test
+
+
 @query("rank_training_split", """
     SELECT interaction_id, user_id, content_id, event_ts, watch_seconds,
            CASE WHEN CAST(concat('0x', substr(md5(concat('42|', interaction_id)), 1, 8)) AS BIGINT) % 100 < 20
@@ -37,25 +59,45 @@ def rank_training_split(spark, folder):
     return models.rank_training_split(v.silver_interactions(spark, folder)).drop("device")
 
 
-@query("ranker_fit")
+IN_RANGE = "score BETWEEN 0 AND 1 AS score_in_range"
+
+
+@query("ranker_fit", """
+    SELECT interaction_id, user_id, content_id, completed, TRUE AS score_in_range, TRUE AS beats_chance
+    FROM gold_interactions
+    WHERE CAST(concat('0x', substr(md5(concat('42|', interaction_id)), 1, 8)) AS BIGINT) % 100 < 20""")
 def ranker_fit(spark, folder):
-    train, test = _split(*v.feature_tables(spark, folder))
-    ranker = models.ranker_fit(train, **SHORT_FIT)
-    return ranker.score(test).select("interaction_id", "user_id", "content_id", "completed", "score")
+    """Scores of the held-out rows by a ranker with the search's best settings."""
+    ranker, test = _fitted(spark, folder)
+    scored = stored(ranker.score(test), "scored")
+    return scored.select(
+        "interaction_id", "user_id", "content_id", "completed", F.expr(IN_RANGE),
+        F.lit(models.auc(scored).first()["auc"] > 0.5).alias("beats_chance"),
+    )
+
 
+_TRIALS = ", ".join(
+    f"({i}, {p['maxDepth']}, {p['stepSize']!r}::DOUBLE, {p['maxIter']}, {p['minInstancesPerNode']})"
+    for i, p in enumerate(models.search_space())
+)
 
-@query("ranker_search")
+
+@query("ranker_search", f"""
+    SELECT trial, depth, rate, trees, min_child, TRUE AS beats_chance, TRUE AS chosen_is_best
+    FROM (VALUES {_TRIALS}) AS t(trial, depth, rate, trees, min_child)""")
 def ranker_search(spark, folder):
-    train, test = _split(*v.feature_tables(spark, folder))
-    best, trials = models.ranker_search(train, test, models.search_space(**SHORT_SEARCH))
+    """The whole search space, each trial's AUC checked against chance and the chosen one's."""
+    best, trials = _search(spark, folder)
+    largest = max(auc for _, auc in trials)
+    chosen = [auc for p, auc in trials if p == best.params]
     rows = [
-        (i, p["maxDepth"], p["stepSize"], p["maxIter"], p["minInstancesPerNode"], auc,
-         best.auc if p == best.params else None)
+        (i, p["maxDepth"], p["stepSize"], p["maxIter"], p["minInstancesPerNode"],
+         auc > 0.5 and best.auc > 0.5, auc <= largest == max(chosen))
         for i, (p, auc) in enumerate(trials)
     ]
     return spark.createDataFrame(
         rows,
-        "trial int, depth int, rate double, trees int, min_child int, validation_auc double, test_auc double",
+        "trial int, depth int, rate double, trees int, min_child int, beats_chance boolean, chosen_is_best boolean",
     )
 
 
@@ -106,7 +148,7 @@ _CANDIDATES = """
         SELECT u.user_id, n.content_id, n.place, 'vector_search' AS retrieved_by
         FROM user_features u JOIN near n ON u.seed_content_id = n.seed
         UNION ALL
-        SELECT u.user_id, p.content_id, p.place, 'two_tower' FROM user_features u, popular p
+        SELECT u.user_id, p.content_id, p.place, 'popular' FROM user_features u, popular p
         WHERE u.seed_content_id NOT IN (SELECT content_id FROM vectors))
 """
 
@@ -167,14 +209,16 @@ def user_candidate_pairs(spark, folder):
     )
 
 
-@query("score_candidates")
+@query("score_candidates", _CANDIDATES + """
+    SELECT c.user_id, c.content_id, c.retrieved_by, TRUE AS score_in_range
+    FROM candidates c JOIN item_features t ON c.content_id = t.content_id""")
 def score_candidates(spark, folder):
-    """A ranker trained on the whole table scores every user's candidates."""
-    tables = v.feature_tables(spark, folder)
-    users, items = _with_candidates(spark, folder, tables)
-    ranker = models.ranker_fit(_split(*tables)[0], **SHORT_FIT)
+    """A ranker with the search's best settings scores every user's candidates."""
+    ranker, _ = _fitted(spark, folder)
+    users, items = _with_candidates(spark, folder)
+    users = features.with_age(users, v.silver_users(spark, folder))
     scored = recommend.score_candidates(recommend.user_candidate_pairs(users, items), ranker)
-    return scored.select("user_id", "content_id", "retrieved_by", "score")
+    return scored.select("user_id", "content_id", "retrieved_by", F.expr(IN_RANGE))
 
 
 # ---- lists and explanations ---------------------------------------------------------

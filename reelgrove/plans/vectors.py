@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from reelgrove.functions import fixed_values as fixed
+from reelgrove.functions.expressions import dot, l2_norm
 from reelgrove.operators import models, similarity
 from reelgrove.plans.registry import query
+from reelgrove.session import stored
 from reelgrove.sources import sample_views as v
 from reelgrove.sources.tables import read_table
 
@@ -31,13 +36,25 @@ def knn_exact(spark, folder):
     )
 
 
-@query("knn_approx")
+@query("knn_approx", """
+    SELECT vec_id, CAST(10 AS BIGINT) AS neighbours, TRUE AS ranks_run, TRUE AS scores_are_cosines,
+           TRUE AS recall_above_half
+    FROM embeddings""")
 def knn_approx(spark, folder):
+    """Neighbours from the most promising cells, checked against the true cosine and the exact search."""
     rows = read_table(spark, folder, "embeddings")
-    return _ranked(
-        similarity.knn_approx(
-            rows, rows, 10, n_probe=4, query_id="vec_id", item_id="vec_id", cells=16
-        )
+    options = dict(query_id="vec_id", item_id="vec_id")
+    found = stored(similarity.knn_approx(rows, rows, 10, n_probe=4, cells=16, **options), "approximate")
+    exact = similarity.knn_exact(rows, rows, 10, cells=8, **options)
+    hits = similarity.recall(exact, found, "vec_id", "neighbour_id").first()["recall"]
+    others = rows.select(F.col("vec_id").alias("neighbour_id"), F.col("embedding").alias("other"))
+    cosine = dot("embedding", "other") / (l2_norm("embedding") * l2_norm("other"))
+    checked = found.join(rows, "vec_id").join(others, "neighbour_id")
+    return checked.groupBy("vec_id").agg(
+        F.count("*").alias("neighbours"),
+        ((F.min("rank") == 1) & (F.max("rank") == F.count("*"))).alias("ranks_run"),
+        (F.max(F.abs(F.col("score") - cosine)) < 1e-6).alias("scores_are_cosines"),
+        F.lit(hits > 0.5).alias("recall_above_half"),
     )
 
 
@@ -56,9 +73,16 @@ def item_similarity_pairs(spark, folder):
     )
 
 
-@query("text_embedding")
+@query("text_embedding", r"""
+    SELECT doc_id, CAST(256 AS INTEGER) AS dimensions,
+           CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm
+    FROM documents""")
 def text_embedding(spark, folder):
-    return models.text_embedding(read_table(spark, folder, "documents"), "doc_id", "text")
+    """Length of every text's vector: one, or zero without a term."""
+    found = models.text_embedding(read_table(spark, folder, "documents"), "doc_id", "text")
+    return found.select(
+        "doc_id", F.size("embedding").alias("dimensions"), F.round(l2_norm("embedding"), 4).alias("norm")
+    )
 
 
 @query("normalised_ratings", """
@@ -73,14 +97,50 @@ def _factors(spark, folder):
     return models.factor_embeddings(models.normalised_ratings(v.silver_interactions(spark, folder)))
 
 
-@query("factor_embeddings")
+@query("factor_embeddings", f"""
+    SELECT DISTINCT 'user' AS side, user_id AS id, {fixed.FACTOR_RANK} AS dimensions, TRUE AS beats_constant
+    FROM silver_interactions
+    UNION ALL
+    SELECT DISTINCT 'item', content_id, {fixed.FACTOR_RANK}, TRUE FROM silver_interactions""")
 def factor_embeddings(spark, folder):
-    model = _factors(spark, folder)
-    users = model.users.select(F.lit("user").alias("side"), F.col("user_id").alias("id"), "embedding")
-    items = model.items.select(F.lit("item").alias("side"), F.col("content_id").alias("id"), "embedding")
-    return users.unionByName(items)
+    """A vector for every user and item, and whether they predict better than the mean."""
+    ratings = stored(models.normalised_ratings(v.silver_interactions(spark, folder)), "ratings")
+    model = models.factor_embeddings(ratings)
+    mean = ratings.agg(F.avg("rating")).first()[0]
+    pairs = ratings.join(model.users.withColumnRenamed("embedding", "u"), "user_id").join(
+        model.items.withColumnRenamed("embedding", "i"), "content_id"
+    )
+    ours, constant = pairs.agg(
+        F.avg((F.col("rating") - dot("u", "i")) ** 2), F.avg((F.col("rating") - mean) ** 2)
+    ).first()
+    sides = [("user", model.users, "user_id"), ("item", model.items, "content_id")]
+    return reduce(
+        lambda a, b: a.unionByName(b),
+        [
+            rows.select(
+                F.lit(side).alias("side"), F.col(key).cast("bigint").alias("id"),
+                F.size("embedding").alias("dimensions"), F.lit(ours < constant).alias("beats_constant"),
+            )
+            for side, rows, key in sides
+        ],
+    )
 
 
-@query("retrieve_factors")
+@query("retrieve_factors", """
+    SELECT user_id, (SELECT least(100, count(DISTINCT content_id)) FROM silver_interactions) AS items,
+           TRUE AS ranks_run, TRUE AS scores_fall, TRUE AS scores_are_products
+    FROM silver_interactions GROUP BY user_id""")
 def retrieve_factors(spark, folder):
-    return _ranked(models.retrieve_factors(_factors(spark, folder)))
+    """The best items of every user, their order and scores checked against the vectors."""
+    model = _factors(spark, folder)
+    found = stored(models.retrieve_factors(model), "retrieved")
+    checked = found.join(model.users.withColumnRenamed("embedding", "u"), "user_id").join(
+        model.items.withColumnRenamed("embedding", "i"), "content_id"
+    )
+    in_order = F.sort_array(F.collect_list(F.struct("rank", (-F.col("score")).alias("down"))))["down"]
+    return checked.groupBy("user_id").agg(
+        F.count("*").alias("items"),
+        ((F.min("rank") == 1) & (F.max("rank") == F.count("*"))).alias("ranks_run"),
+        (in_order == F.sort_array(in_order)).alias("scores_fall"),
+        (F.max(F.abs(F.col("score") - dot("u", "i"))) < 1e-5).alias("scores_are_products"),
+    )
