@@ -100,8 +100,8 @@ def mask_phone(phone: ColumnLike) -> Column:
 
 
 def visible_to(column: ColumnLike, groups: ColumnLike, reader_group: str) -> Column:
-    """The column for members of ``reader_group``, a fixed word for anyone else."""
-    return F.when(F.array_contains(_col(groups), reader_group), _col(column)).otherwise(
+    """The column as text for members of ``reader_group``, a fixed word for anyone else."""
+    return F.when(F.array_contains(_col(groups), reader_group), _col(column).cast("string")).otherwise(
         F.lit(fixed.REDACTED)
     )
 

@@ -50,4 +50,9 @@ SEARCH_TREES = (50, 200)
 SEARCH_MIN_CHILD = (5, 50)
 
 EMBEDDING_TEXT_SEPARATOR = " | "
+
+ASSET_COLUMNS = {
+    "chapter": "int", "asset_type": "string", "name": "string", "id": "string",
+    "url": "string", "description": "string", "created_at": "timestamp",
+}
 # -----------------------------------------------------------------------------

@@ -20,8 +20,13 @@ def valid_views(df: DataFrame, seconds: int = fixed.VALID_VIEW_SECONDS) -> DataF
 
 
 def latest(df: DataFrame, ts: str) -> Column:
-    """The newest timestamp of a table as a scalar subquery."""
-    return df.agg(F.max(ts)).scalar()
+    """The newest timestamp of a table as a literal, NULL for an empty one.
+
+    Found once by a job that reads this column. As a literal it reaches the scan's filters,
+    which a subquery does not.
+    """
+    newest = df.agg(F.max(ts).cast("string").alias("t")).first()["t"]
+    return F.lit(newest).cast(df.schema[ts].dataType)
 
 
 def last_n_days(

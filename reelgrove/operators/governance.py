@@ -8,19 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from reelgrove.functions import fixed_values as fixed
 from reelgrove.functions.expressions import mask_email, mask_phone, stable_bucket, visible_to
+from reelgrove.operators.filters import latest
 from reelgrove.operators.upsert import upsert_by_key
 
-ASSET_SCHEMA = T.StructType(
-    [
-        T.StructField("chapter", T.IntegerType()),
-        T.StructField("asset_type", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("id", T.StringType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("description", T.StringType()),
-        T.StructField("created_at", T.TimestampType()),
-    ]
-)
+ASSET_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in fixed.ASSET_COLUMNS.items())
 TAG_KEYS = ["object_name", "column_name", "tag"]
 
 
@@ -47,7 +38,7 @@ def masked_view(
     """A temporary view that masks by the groups in a session variable at query time."""
     spark.sql(f"DECLARE OR REPLACE VARIABLE {groups_variable} ARRAY<STRING> DEFAULT array()")
     masked = ", ".join(
-        f"CASE WHEN array_contains({groups_variable}, '{reader_group}') THEN `{c}` "
+        f"CASE WHEN array_contains({groups_variable}, '{reader_group}') THEN CAST(`{c}` AS STRING) "
         f"ELSE '{fixed.REDACTED}' END AS `{c}`"
         if c in columns
         else f"`{c}`"
@@ -107,7 +98,7 @@ def asset_log(log: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def sorted_listing(log: DataFrame) -> DataFrame:
-    return log.select([f.name for f in ASSET_SCHEMA]).orderBy("chapter", "asset_type", "name")
+    return log.select(list(fixed.ASSET_COLUMNS)).orderBy("chapter", "asset_type", "name")
 
 
 # ---- audits -----------------------------------------------------------------------
@@ -122,7 +113,7 @@ def audit_query(
     tie_break: str = "event_id",
 ) -> DataFrame:
     """The newest actions of the last hours on objects whose name starts with a prefix."""
-    end = audit.agg(F.max("event_time")).scalar() if as_of is None else as_of
+    end = latest(audit, "event_time") if as_of is None else as_of
     return (
         audit.where(F.col("event_time") > end - F.expr(f"INTERVAL {int(hours)} HOURS"))
         .withColumn("table_arg", F.get_json_object("request_params", path))

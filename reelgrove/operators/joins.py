@@ -63,6 +63,12 @@ def fits_broadcast(df: DataFrame) -> bool:
     return source_bytes(df) <= 4 * limit and measured_bytes(df) <= limit
 
 
+def joins_tables(df: DataFrame) -> bool:
+    """Whether the optimised plan still has a join in it."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(line.lstrip(" :+-").startswith("Join ") for line in plan.splitlines())
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -104,16 +110,22 @@ def lookup_join(
     """Join ``fact`` to ``lookup``, which holds at most one row per key.
 
     ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. The result equals
-    the plain join; only its distribution differs. ``keys_from`` names a cheaper table
-    with the same key frequencies, for a ``fact`` that already went through joins.
+    the plain join; only its distribution differs. Hot keys are searched in ``fact`` if it
+    comes from one table. ``keys_from`` names a table with the same key frequencies for one
+    that went through joins; without it, skew there is left to adaptive execution.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    limit = broadcast_limit(lookup)
+    if 0 < planned_bytes(lookup) <= limit:  # Catalyst and its runtime statistics decide
+        return fact.join(lookup, keys, how)
     if fits_broadcast(lookup):
         return fact.join(F.broadcast(lookup), keys, how)
 
     partitions = shuffle_partitions(fact)
     support = min(_MAX_SUPPORT, max(_MIN_SUPPORT, 4.0 / partitions))
     source = fact if keys_from is None else keys_from
+    if joins_tables(source):  # a search would run those joins once more; AQE splits skew
+        return fact.join(lookup, keys, how)
     types = [fact.schema[k].dataType for k in keys]
     hot = frequent_codes(source.select(*keys), types, support)
     if not hot:

@@ -23,11 +23,26 @@ def embed_with(df: DataFrame, text: str, model_factory, output: str = "embedding
     return df.withColumn(output, embed(F.col(text)))
 
 
+def _answers(model, prompts: list) -> list:
+    """The model's answers; NULL for what it fails on, which spoils no other prompt."""
+    if model is None:
+        return [None] * len(prompts)
+    try:
+        texts = list(model(prompts))
+        if len(texts) == len(prompts):
+            return texts
+    except Exception:
+        pass
+    if len(prompts) == 1:
+        return [None]
+    return [text for p in prompts for text in _answers(model, [p])]
+
+
 def explain_with(
     df: DataFrame, model_factory, messages: str = "messages", fav_genre: str = "fav_genre",
     output: str = "why",
 ) -> DataFrame:
-    """Add a trimmed answer per prompt; the template where the model fails.
+    """Add a trimmed answer per prompt; the template where the model fails or is not there.
 
     ``model_factory()`` returns a function from a list of message lists, each message
     with ``role`` and ``content``, to a list of texts.
@@ -35,13 +50,12 @@ def explain_with(
 
     @F.pandas_udf("string")
     def answer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = model_factory()
+        try:
+            model = model_factory()
+        except Exception:
+            model = None
         for batch in batches:
-            try:
-                texts = model(list(batch))
-            except Exception:
-                texts = [None] * len(batch)
-            yield pd.Series(texts, dtype=object)
+            yield pd.Series(_answers(model, list(batch)), dtype=object)
 
     # Arrow hands structs over as dictionaries; JSON text keeps that independent of
     # session settings.

@@ -185,7 +185,7 @@ def week_over_week(gold: DataFrame, days: int = 7) -> DataFrame:
     """Views and watch time per genre, this week against the week before."""
     end = latest(gold, "event_ts")
     start = end - F.expr(f"INTERVAL {int(days)} DAYS")
-    recent = last_n_days(gold, 2 * days)
+    recent = last_n_days(gold, 2 * days, as_of=end)
     this = F.col("event_ts") > start
     return recent.groupBy("genre").agg(
         F.count(F.when(this, 1)).alias("views_this_week"),

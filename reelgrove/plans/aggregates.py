@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reelgrove.operators import features, lists, medallion
+from reelgrove.operators.joins import lookup_join
 from reelgrove.plans.registry import query
 from reelgrove.sources import sample_views as v
 
@@ -152,7 +153,7 @@ def diversity_rerank(spark, folder):
     FROM diverse d JOIN silver_items t ON d.content_id = t.content_id WHERE d.rank <= 5""")
 def recent_titles(spark, folder):
     items = v.silver_items(spark, folder).select("content_id", "title")
-    top = lists.diversity_rerank(_watch_lists(spark, folder)).join(items, "content_id")
+    top = lookup_join(lists.diversity_rerank(_watch_lists(spark, folder)), items, "content_id", "inner")
     return top.withColumn("recent", lists.titles_before()).select(
         "user_id",
         F.col("rank").cast("bigint").alias("rank"),

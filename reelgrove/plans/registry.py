@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reelgrove.plans.sql_views import VIEWS
-from reelgrove.session import tune
+from reelgrove.session import ship_package, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def add(fn: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
             return fn(tune(spark), folder)
 
         run.__doc__ = fn.__doc__

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelgrove.operators.upsert import upsert_by_key
@@ -81,9 +82,22 @@ class KeyedTable:
         return self.spark.read.parquet(f"{self.path}/v={number}")
 
     def replace(self, df: DataFrame) -> DataFrame:
+        return write_parquet(df, f"{self.path}/v={self._claim()}")
+
+    def _claim(self) -> int:
+        """The next version number, which a file that only one writer can create makes its own."""
         versions = self._versions()
         number = versions[-1] + 1 if versions else 1
-        return write_parquet(df, f"{self.path}/v={number}")
+        while True:
+            claim = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/claims/{number}")
+            fs = claim.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+            try:
+                fs.create(claim, False).close()
+                return number
+            except Py4JJavaError:
+                if not fs.exists(claim):
+                    raise
+                number += 1  # another writer has it, or had it and failed
 
     def upsert(self, source: DataFrame, check: bool = True) -> DataFrame:
         if not self.exists():

@@ -16,6 +16,7 @@ from reelgrove.operators.quality import (
     expect_or_drop,
     expect_warn,
 )
+from reelgrove.session import RUNTIME_SETTINGS
 from reelgrove.streaming.schemas import grown, load_schema, save_schema
 
 
@@ -89,6 +90,16 @@ SILVER = {
 }
 
 
+# More micro-batches than one triggered run has.
+KEPT_PROGRESS = 10_000_000
+
+
+def own_settings(spark: SparkSession) -> dict[str, str]:
+    """The settings a new session of the same application takes over."""
+    names = [*RUNTIME_SETTINGS, "spark.sql.shuffle.partitions", *ROCKSDB_STATE]
+    return {n: v for n in names if (v := spark.conf.get(n, None)) is not None}
+
+
 def _first_per_key(
     rows: DataFrame, key: str, watermark: tuple[str, str] | None, salts: int
 ) -> DataFrame:
@@ -115,6 +126,7 @@ def stream_silver(
     name: str = "quality",
     salts: int = 16,
     state_partitions: int | None = None,
+    files_per_batch: int | None = None,
 ) -> dict[str, int]:
     """Bronze to silver: first row per key, failure counts, dropping rules.
 
@@ -123,19 +135,25 @@ def stream_silver(
     (column, delay) only keys inside the delay are. Copies are first dropped per key and
     salt, so that one key with very many copies is not read by a single task; ``salts=1``
     leaves that step out. The first run fixes the number of state partitions:
-    ``state_partitions``, or the session's shuffle partitions. Returns the failures per
-    rule.
+    ``state_partitions``, or the session's shuffle partitions. ``files_per_batch`` bounds a
+    micro-batch. Returns the failures per rule over all micro-batches of the run.
     """
-    rows = spark.readStream.schema(landed_schema(spark, bronze)).parquet(bronze)
+    # A session of its own: other streams keep their settings, and the progress of every
+    # micro-batch is kept, from which failures are summed.
+    own = spark.newSession()
+    for setting, value in own_settings(spark).items():
+        own.conf.set(setting, value)
+    own.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(KEPT_PROGRESS))
+    if state_partitions:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    reader = own.readStream.schema(landed_schema(spark, bronze))
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    rows = reader.parquet(bronze)
     if key:
         rows = _first_per_key(rows, key, watermark, salts)
     checked = expect_or_drop(expect_warn(rows, rules, name), rules)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
-    try:
-        query = drain(checked, target, checkpoint)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    query = drain(checked, target, checkpoint)
     counts: dict[str, int] = {}
     for progress in query.recentProgress:
         metrics = progress["observedMetrics"].get(name)

@@ -34,3 +34,24 @@ def test_ranks_are_cut_before_the_shuffle(spark, small):
         "user_id", F.col("event_id").alias("content_id"), F.col("value").alias("score")
     )
     assert "WindowGroupLimit" in plan_of(lists.top_k_per_user(scored, 5))
+
+
+def test_default_time_bound_is_found_once_and_reaches_the_scan(spark, small):
+    text = plan_of(filters.last_n_days(v.interactions(spark, small), 7))
+    assert "Subquery" not in text and "GreaterThan(l_shipdate," in text
+    text = plan_of(QUERIES["q_week_over_week"](spark, small))
+    assert "Subquery" not in text and "GreaterThan(l_shipdate," in text
+
+
+def test_user_features_read_the_facts_once(spark, small):
+    assert "lineitem" not in plan_of(QUERIES["user_features"](spark, small))  # a stored table
+
+
+def test_no_join_runs_inside_a_search_for_hot_keys(spark, small, no_broadcast, monkeypatch):
+    from reelgrove.operators import joins
+
+    searched = []
+    real = joins.frequent_codes
+    monkeypatch.setattr(joins, "frequent_codes", lambda keys, *a: searched.append(keys) or real(keys, *a))
+    v.gold_interactions(spark, small)
+    assert all(not joins.joins_tables(keys) for keys in searched)
