@@ -8,22 +8,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reelgrove.llm import langid, ngram_join, packing, pii
 from reelgrove.session import shared_dir, ship_package
 
-# Below this share of letters in its main language a document has no language.
-LEAST_LANGUAGE_SHARE = 0.4
 PII_KEY = b"replace this key"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents with a language; the model is learnt from their own labels.
 
-    Documents without a letter and those of no main language go. ``lang`` becomes the
-    predicted language where it was NULL.
+    Documents without a language (``und``: no text, no letter) go; one that mixes several
+    stays. ``lang`` becomes the predicted language where it was NULL.
     """
     ship_package(spark)
     model = langid.learn(docs)
-    found = langid.identify(docs, model).where(
-        (F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_score") >= LEAST_LANGUAGE_SHARE)
-    )
+    found = langid.identify(docs, model).where(F.col("lang_pred") != langid.UNKNOWN)
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
 
 
