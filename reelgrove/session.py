@@ -42,7 +42,9 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**RUNTIME_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
-    return tune(builder.getOrCreate())
+    spark = tune(builder.getOrCreate())
+    ship_package(spark)
+    return spark
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
