@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reelgrove.functions import fixed_values as fixed
-from reelgrove.operators import features, lists, models, recommend
+from reelgrove.operators import features, governance, lists, models, monitoring, recommend
 from reelgrove.operators.joins import lookup_join
 from reelgrove.plans.aggregates import _watch_lists
 from reelgrove.plans.registry import query
-from reelgrove.session import stored
+from reelgrove.session import shared_dir, stored
 from reelgrove.sources import sample_views as v
 
 # The search's best point of each application and folder: fitting takes it from there.
@@ -292,3 +292,58 @@ def publish_recommendations(spark, folder):
     published = lists.top_k_per_user(scored, 10).select(*columns)
     fresh = lists.diversity_rerank(scored).select(*columns)
     return recommend.publish_recommendations(published, fresh)
+
+
+# ---- the whole chain ------------------------------------------------------------------
+
+@query("recommend_chain", """
+    SELECT u.user_id,
+           CASE WHEN u.seed_content_id IN (SELECT content_id FROM silver_items) THEN 'vector_search'
+                ELSE 'two_tower' END AS retrieved_by,
+           TRUE AS list_fits, TRUE AS one_per_genre, TRUE AS all_explained, TRUE AS log_is_complete
+    FROM user_features u""")
+def recommend_chain(spark, folder):
+    """Item text to vectors, neighbours of the seed, factor fallback, trained ranker, lists.
+
+    The lists are explained, logged as requests and read back from the log; the daily
+    profile of the logged scores has to count every entry.
+    """
+    gold, users, items = v.feature_tables(spark, folder)
+    texts = items.select("content_id", F.coalesce("synopsis", "title").alias("synopsis"))
+    vectors = stored(models.text_embedding(texts, "content_id", "synopsis"), "item_vectors")
+    factors = models.factor_embeddings(models.normalised_ratings(gold))
+    by_factors = recommend.candidate_lists(models.retrieve_factors(factors), "user_id")
+    found = stored(
+        recommend.retrieve_by_seed(
+            users, vectors, fallback=by_factors, popular=recommend.popular_items(items)
+        ),
+        "candidates",
+    )
+    ranker, _ = _fitted(spark, folder)
+    known = features.with_age(found, v.silver_users(spark, folder))
+    explained = recommend.recommend_batch(known, items, ranker.score)
+    lists_of = stored(recommend.as_user_lists(found, explained), "recommendations")
+
+    # Every list is one request of a fixed time, so that the log's profile has one day.
+    requests = lists_of.withColumn("request_time", F.to_timestamp(F.lit("2024-01-01 12:00:00")))
+    log = shared_dir(spark, "request_log")
+    governance.append_request_log(requests, log, key="user_id")
+    read_back = stored(
+        governance.parse_request_log(spark.read.parquet(log).drop("user_id")), "parsed_log"
+    )
+    profile = monitoring.profile_daily(read_back, "request_time", ["score"]).agg(F.sum("rows")).first()[0]
+    entries = lists_of.agg(F.sum(F.size("recommendations"))).first()[0]
+    logged = read_back.groupBy("user_id").agg(F.count("*").alias("logged"))
+
+    entry = F.col("recommendations")
+    size = F.size(entry)
+    return lookup_join(lists_of, logged, "user_id").join(
+        found.select("user_id", "retrieved_by"), "user_id"
+    ).select(
+        "user_id",
+        "retrieved_by",
+        size.between(1, fixed.TOP_K).alias("list_fits"),
+        (F.size(F.array_distinct(entry["genre"])) == size).alias("one_per_genre"),
+        F.forall(entry, lambda r: F.length(r["why"]) > 0).alias("all_explained"),
+        ((F.coalesce("logged", F.lit(0)) == size) & F.lit(profile == entries)).alias("log_is_complete"),
+    )
