@@ -38,6 +38,15 @@ HEADLINE = [
     "stream_equals_batch",
     "retrieve_factors",
     "recommend_batch",
+    "factor_embeddings",
+    "text_embedding",
+    "knn_approx",
+    "stream_upsert",
+    "scd2_stream",
+    "ranker_search",
+    "ranker_fit",
+    "score_candidates",
+    "recommend_chain",
 ]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reelgrove.functions import fixed_values as fixed
-from reelgrove.operators import features, governance, lists, models, monitoring, recommend
+from reelgrove.operators import features, governance, lists, models, monitoring, plugins, recommend
 from reelgrove.operators.joins import lookup_join
 from reelgrove.plans.aggregates import _watch_lists
 from reelgrove.plans.registry import query
@@ -294,6 +294,44 @@ def publish_recommendations(spark, folder):
     return recommend.publish_recommendations(published, fresh)
 
 
+# ---- plug-in points, with models that SQL can repeat ------------------------------------
+
+@query("embed_with", """
+    SELECT content_id, CAST(length(title) AS FLOAT) AS letters,
+           CAST(length(title) - length(replace(title, ' ', '')) AS FLOAT) AS spaces
+    FROM silver_items""")
+def embed_with(spark, folder):
+    def counting():
+        return lambda texts: [[len(t), t.count(" ")] for t in texts]
+
+    found = plugins.embed_with(v.silver_items(spark, folder), "title", counting)
+    return found.select(
+        "content_id", F.col("embedding")[0].alias("letters"), F.col("embedding")[1].alias("spaces")
+    )
+
+
+@query("explain_with", _LISTS + """
+    SELECT user_id, rank,
+           CASE WHEN contains(title, 'e') THEN concat('Recommended based on your taste in ', fav_genre, '.')
+                ELSE concat('Try ', title, '.') END AS why
+    FROM listed""")
+def explain_with(spark, folder):
+    """A model that fails on some prompts; only those fall back to the template."""
+
+    def picky():
+        def answer(batch):
+            titles = [m.split("Candidate: '")[1].split("' (genre")[0] for m in batch]
+            if any("e" in t for t in titles):
+                raise ValueError("a title this model cannot spell")
+            return [f" Try {t}. " for t in titles]
+
+        return answer
+
+    _, ranked = _lists(spark, folder)
+    explained = plugins.explain_with(recommend.explain_prompts(ranked), picky)
+    return explained.select("user_id", F.col("rank").cast("bigint").alias("rank"), "why")
+
+
 # ---- the whole chain ------------------------------------------------------------------
 
 @query("recommend_chain", """

@@ -135,3 +135,13 @@ def timestamp_column_pick(spark, folder):
     FROM served GROUP BY 1""")
 def champion_challenger(spark, folder):
     return g.compare_versions(g.champion_challenger(v.served(spark, folder)))
+
+
+@query("masked_view", """
+    SELECT user_id, 'REDACTED' AS email, 'REDACTED' AS age, country FROM silver_users""")
+def masked_view(spark, folder):
+    """What a session that names no reader group sees, a number column included."""
+    v.silver_users(spark, folder).select("user_id", "email", "age", "country").createOrReplaceTempView(
+        "users_with_contacts"
+    )
+    return g.masked_view(spark, "users_for_all", "users_with_contacts", ["email", "age"])
