@@ -257,7 +257,8 @@ def pack(
         .selectExpr("*", f"{taken_sql.format(w='w')} as c0", f"{taken_sql.format(w='w + 1')} as c1")
         .selectExpr("*", "greatest(x0, c0) as p0", "least(x1, c1) as p1", "first + w as window")
         .where("p1 > p0")
-        .join(window_starts(spark, plan), ["window", "queue_no"])
+        # Windows grow with the tokens, which the planner cannot see from their generator.
+        .join(window_starts(spark, plan).hint("merge"), ["window", "queue_no"])
         .selectExpr("part", "row", "window", "p0 + base - a as start", "begin + p0 - c0 as g0", "p1 - p0 as size")
     )
     n = sequence_length
