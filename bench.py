@@ -52,6 +52,7 @@ HEADLINE = [
 
 def main() -> None:
     from reelgrove import build_session
+    from reelgrove.session import job_scope
     from reelgrove.plans import QUERIES
 
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -73,7 +74,8 @@ def main() -> None:
     times = {}
     for name in names:
         start = time.perf_counter()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        with job_scope(spark):
+            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
         print(name, times[name], file=sys.stderr, flush=True)
     spark.stop()

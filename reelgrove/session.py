@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,7 @@ RUNTIME_SETTINGS = {
 }
 
 _local_fallback: str | None = None
+_scopes: list[str] = []
 _shipped_to: set[str] = set()
 
 
@@ -62,7 +65,25 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if _local_fallback is None:
             _local_fallback = tempfile.mkdtemp(prefix="reelgrove-")
         base = _local_fallback
-    return os.path.join(base, f"{purpose}-{uuid.uuid4().hex[:12]}")
+    folder = _scopes[-1] if _scopes else base
+    return os.path.join(folder, f"{purpose}-{uuid.uuid4().hex[:12]}")
+
+
+@contextmanager
+def job_scope(spark: SparkSession) -> Iterator[str]:
+    """Delete at the end what is stored inside: intermediates, not the results.
+
+    Everything ``shared_dir`` and ``stored`` hand out inside goes to one folder, so results
+    have to be written elsewhere before the scope ends. A failed job is cleared as well.
+    """
+    folder = shared_dir(spark, "job")
+    _scopes.append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

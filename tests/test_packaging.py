@@ -23,3 +23,14 @@ def test_workers_without_the_source_folder(small, tmp_path):
         cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300,
     )
     assert "rows 5000" in done.stdout, done.stderr[-2000:]
+
+
+def test_a_job_scope_removes_its_intermediates(spark, tmp_path):
+    from reelgrove.session import job_scope, stored
+
+    with job_scope(spark) as folder:
+        rows = stored(spark.range(10), "numbers")
+        assert os.listdir(folder)
+        rows.write.parquet(str(tmp_path / "result"))
+    assert not os.path.exists(folder)
+    assert spark.read.parquet(str(tmp_path / "result")).count() == 10
