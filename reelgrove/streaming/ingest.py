@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
+import zoneinfo
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,7 +20,7 @@ from reelgrove.operators.quality import (
     expect_warn,
 )
 from reelgrove.session import RUNTIME_SETTINGS
-from reelgrove.streaming.schemas import grown, load_schema, save_schema
+from reelgrove.streaming.schemas import grown, load_schema, load_text, save_schema, save_text
 
 
 def drain(
@@ -36,8 +39,28 @@ def drain(
     return query
 
 
-def landed_schema(spark: SparkSession, folder: str) -> T.StructType:
-    return spark.read.option("mergeSchema", True).parquet(folder).schema
+# Clocks of the driver and of the store may differ by this much.
+CLOCK_SLACK_SECONDS = 3_600
+
+
+def landed_schema(
+    spark: SparkSession, folder: str, since: datetime.datetime | None = None
+) -> T.StructType | None:
+    """All columns of the landed files, or of those that came after ``since``.
+
+    With ``since`` only the footers of newer files are read; None if there are none.
+    """
+    reader = spark.read.option("mergeSchema", True)
+    if since is None:
+        return reader.parquet(folder).schema
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    after = since.astimezone(zoneinfo.ZoneInfo(zone)).strftime("%Y-%m-%dT%H:%M:%S")
+    try:
+        return reader.option("modifiedAfter", after).parquet(folder).schema
+    except AnalysisException as nothing_new:
+        if nothing_new.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
 
 
 def ingest_files(
@@ -51,15 +74,22 @@ def ingest_files(
 ) -> StreamingQuery:
     """Add each new landed file to the bronze table exactly once.
 
-    The column list is kept in a schema file beside the checkpoint. With ``evolve`` a
+    The column list is kept in a schema file beside the checkpoint, with the time up to
+    which files were looked at: only newer ones are opened for their columns. With ``evolve`` a
     column that appears in later files is added to it; earlier rows hold NULL there.
     """
     registry = f"{checkpoint}.schema.json"
     known = load_schema(spark, registry)
     if known is None or evolve:
-        schema = grown(known, landed_schema(spark, landing))
+        looked = datetime.datetime.now(datetime.timezone.utc)
+        last = load_text(spark, f"{checkpoint}.looked") if known is not None else None
+        since = datetime.datetime.fromisoformat(last) if last else None
+        found = landed_schema(spark, landing, since)
+        schema = known if found is None else grown(known, found)
         if schema != known:
             save_schema(spark, registry, schema)
+        before = looked - datetime.timedelta(seconds=CLOCK_SLACK_SECONDS)
+        save_text(spark, f"{checkpoint}.looked", before.isoformat())
     else:
         schema = known
     reader = spark.readStream.schema(schema)

@@ -146,3 +146,15 @@ def test_request_log_is_laid_out_by_day(spark, small):
     assert log.where(F.to_date("request_time") != F.col("day")).count() == 0
     first = json.loads(log.orderBy("event_id").first().response)
     assert set(first[0]) == {"content_id", "score", "genre"}
+
+
+def test_only_new_files_are_opened_for_their_columns(spark, tmp_path, monkeypatch):
+    landing, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    monkeypatch.setattr(ingest, "CLOCK_SLACK_SECONDS", -1)  # files of this very second count as old
+    land(spark.range(3), landing, 1)
+    ingest.ingest_files(spark, landing, target, checkpoint)
+    land(spark.range(3).selectExpr("id", "id AS more"), landing, 1)
+    old = ingest.datetime.datetime.now(ingest.datetime.timezone.utc) + ingest.datetime.timedelta(hours=1)
+    assert ingest.landed_schema(spark, landing, old) is None
+    monkeypatch.setattr(ingest, "CLOCK_SLACK_SECONDS", 3_600)
+    assert ingest.landed_schema(spark, landing, old - ingest.datetime.timedelta(hours=3)).names == ["id", "more"]
