@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelgrove.operators.upsert import upsert_by_key
+from reelgrove.streaming.schemas import load_schema, save_schema, save_text
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,33 +57,75 @@ def table_listing(spark: SparkSession, prefixes: Sequence[str]) -> DataFrame:
     return listed.where(wanted).orderBy("table_name")
 
 
+_BUCKET = "__bucket"
+
+
 class KeyedTable:
-    """A parquet table that is replaced whole by each upsert.
+    """A parquet table in buckets of its keys; a write replaces the buckets it touches.
 
-    Every write goes to a new version folder. A version counts only when Spark's
-    commit marker is in it, so a job that fails half-way changes nothing.
+    Every write goes to a new version folder and holds only those buckets, all of them for
+    ``replace``. A version counts only when Spark's commit marker is in it, so a job that
+    fails half-way changes nothing. A writer first claims its number.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: str | Sequence[str]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: str | Sequence[str],
+        buckets: int = 16,
+        bucket_by: Sequence[str] | None = None,
+    ):
         self.spark = spark
         self.path = path
         self.keys = [keys] if isinstance(keys, str) else list(keys)
+        self.buckets = buckets
+        self.bucket_by = list(bucket_by or self.keys)
+
+    def _found(self, pattern: str) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
+        fs = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        return [str(s.getPath()) for s in fs.globStatus(path) or []]
 
     def _versions(self) -> list[int]:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/_SUCCESS")
-        fs = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        found = [str(s.getPath()) for s in fs.globStatus(folder) or []]
+        found = self._found("v=*/_SUCCESS")
         return sorted(int(re.search(r"/v=(\d+)/_SUCCESS$", f).group(1)) for f in found)
 
     def exists(self) -> bool:
         return bool(self._versions())
 
-    def read(self, version: int | None = None) -> DataFrame:
+    def _folders(self, version: int) -> dict[int, str]:
+        """The newest folder of each bucket, back to the last version that wrote them all."""
+        folders: dict[int, str] = {}
+        for number in reversed([n for n in self._versions() if n <= version]):
+            for folder in self._found(f"v={number}/{_BUCKET}=*"):
+                folders.setdefault(int(folder.rpartition("=")[2]), folder)
+            if self._found(f"claims/{number}.all"):
+                break
+        return folders
+
+    def read(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
+        """A version, the newest unless one is given; with ``only`` some of its buckets."""
         number = self._versions()[-1] if version is None else version
-        return self.spark.read.parquet(f"{self.path}/v={number}")
-
-    def replace(self, df: DataFrame) -> DataFrame:
-        return write_parquet(df, f"{self.path}/v={self._claim()}")
+        schema = load_schema(self.spark, f"{self.path}/claims/{number}.json")
+        folders = self._folders(number)
+        chosen = sorted(f for b, f in folders.items() if only is None or b in only)
+        if not chosen:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*chosen)
+
+    def _bucketed(self, df: DataFrame) -> DataFrame:
+        texts = [F.col(c).cast("string") for c in self.bucket_by]  # whatever width a number has
+        return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*texts), F.lit(self.buckets)))
+
+    def _write(self, df: DataFrame, whole: bool) -> DataFrame:
+        number = self._claim()
+        save_schema(self.spark, f"{self.path}/claims/{number}.json", df.schema)
+        if whole:
+            save_text(self.spark, f"{self.path}/claims/{number}.all", "")
+        rows = self._bucketed(df).hint("rebalance", _BUCKET)
+        rows.write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{self.path}/v={number}")
+        return self.read(number)
 
     def _claim(self) -> int:
         """The next version number, which a file that only one writer can create makes its own."""
@@ -99,7 +142,15 @@ class KeyedTable:
                     raise
                 number += 1  # another writer has it, or had it and failed
 
+    def replace(self, df: DataFrame) -> DataFrame:
+        return self._write(df, whole=True)
+
+    def rewrite(self, changes: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Put ``merge(rows)`` in place of the rows in the buckets that ``changes`` touch."""
+        touched = [r[0] for r in self._bucketed(changes).select(_BUCKET).distinct().collect()]
+        return self._write(merge(self.read(only=touched)), whole=False)
+
     def upsert(self, source: DataFrame, check: bool = True) -> DataFrame:
         if not self.exists():
             return self.replace(upsert_by_key(source.limit(0), source, self.keys, check))
-        return self.replace(upsert_by_key(self.read(), source, self.keys, check))
+        return self.rewrite(source, lambda rows: upsert_by_key(rows, source, self.keys, check))

@@ -43,11 +43,14 @@ def stream_scd2(
     tie_break: str | None,
     checkpoint: str,
 ) -> None:
-    """Add each micro-batch of changes to a history table."""
+    """Add each micro-batch of changes to a history table, in the buckets of its keys only."""
+    table.bucket_by = list(keys)
 
     def apply(batch: DataFrame, _: int) -> None:
         if table.exists():
-            table.replace(scd2_apply(table.read(), batch, keys, sequence_by, tie_break))
+            table.rewrite(
+                batch, lambda history: scd2_apply(history, batch, keys, sequence_by, tie_break)
+            )
         else:
             table.replace(scd2_from_cdc(batch, keys, sequence_by, tie_break))
 

@@ -62,6 +62,24 @@ def test_a_keyed_table_keeps_versions(spark):
     assert rows(table.read(version=1)) == [(1, "x", "y")]
 
 
+def test_an_upsert_leaves_other_buckets_as_they_were(spark):
+    table = tables.KeyedTable(spark, shared_dir(spark, "keyed"), "k", buckets=8)
+    table.upsert(spark.range(200).selectExpr("int(id) AS k", "'x' AS a", "'y' AS b"))
+    before = table._folders(1)
+    table.upsert(spark.createDataFrame([(7, "z", "y"), (None, "n", "n")], SCHEMA))
+    after = table._folders(2)
+    changed = [b for b in after if after[b] != before.get(b)]
+    assert len(before) == 8 and 1 <= len(changed) <= 2
+    assert table.read().count() == 201 and (7, "z", "y") in rows(table.read().where("k = 7"))
+    assert rows(table.read(version=1).where("k = 7")) == [(7, "x", "y")]
+
+
+def test_writers_do_not_share_a_version(spark):
+    path = shared_dir(spark, "keyed")
+    one, other = (tables.KeyedTable(spark, path, "k") for _ in range(2))
+    assert [one._claim(), other._claim()] == [1, 2]
+
+
 def test_an_unfinished_version_does_not_count(spark):
     table = tables.KeyedTable(spark, shared_dir(spark, "keyed"), "k")
     table.upsert(spark.createDataFrame([(1, "x", "y")], SCHEMA))
