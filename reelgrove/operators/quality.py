@@ -90,3 +90,9 @@ def expectation_report(df: DataFrame, table: str, rules: Sequence[Rule]) -> Data
             "pass_rate"
         ),
     )
+
+
+def quarantine(df: DataFrame, rules: Sequence[Rule], output: str = "failed_rules") -> DataFrame:
+    """The rows that fail a rule, with the names of those they fail, in the rules' order."""
+    failed = F.array_compact(F.array(*[F.when(~r.passes(), F.lit(r.name)) for r in rules]))
+    return df.withColumn(output, failed).where(F.size(output) > 0)

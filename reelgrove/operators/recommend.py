@@ -107,6 +107,12 @@ def user_candidate_pairs(users: DataFrame, item_features: DataFrame) -> DataFram
     return lookup_join(pairs, side_facts(item_features, "content_id", "i_", ["genre"]), "content_id", "inner")
 
 
+def exclude_seen(pairs: DataFrame, interactions: DataFrame) -> DataFrame:
+    """Pairs of a user and an item the user has not watched."""
+    seen = interactions.select("user_id", "content_id").dropna().distinct()
+    return pairs.join(seen, ["user_id", "content_id"], "left_anti")
+
+
 def score_candidates(pairs: DataFrame, ranker: Ranker) -> DataFrame:
     """Add the ranker's score; pairs without one of its inputs are refused."""
     return ranker.score(pairs)

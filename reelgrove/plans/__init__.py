@@ -1,6 +1,7 @@
 """Named queries, each with an equivalent SQL text where SQL can express it."""
 
 from reelgrove.plans import (  # noqa: F401  (importing registers the queries)
+    additions,
     aggregates,
     chain,
     governance,

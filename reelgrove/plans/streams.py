@@ -86,7 +86,8 @@ def stream_equals_batch(spark, folder):
 
 @query("profile_daily_stream", """
     SELECT CAST(ts AS DATE) AS day, count(*) AS rows, count(*) FILTER (WHERE value IS NULL) AS nulls,
-           min(value) AS min_value, max(value) AS max_value, round(sum(value), 6) AS sum_value
+           min(value) AS min_value, max(value) AS max_value, round(sum(value), 6) AS sum_value,
+           round(avg(value), 6) AS mean_value, round(stddev_samp(value), 6) AS stddev_value
     FROM events GROUP BY 1
     HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def profile_daily_stream(spark, folder):
@@ -95,7 +96,9 @@ def profile_daily_stream(spark, folder):
     profile = ingest.daily_profile_stream(_events_stream(spark, folder), "ts", "value")
     ingest.drain(profile, f"{base}/profile", f"{base}/checkpoint")
     written = spark.read.parquet(f"{base}/profile")
-    return written.withColumn("sum_value", F.round("sum_value", 6))
+    return written.withColumns(
+        {c: F.round(c, 6) for c in ("sum_value", "mean_value", "stddev_value")}
+    )
 
 
 @query("stream_upsert", """

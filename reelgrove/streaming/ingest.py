@@ -154,7 +154,7 @@ def stream_silver(
     key: str | None = None,
     watermark: tuple[str, str] | None = None,
     name: str = "quality",
-    salts: int = 16,
+    salts: int = 1,
     state_partitions: int | None = None,
     files_per_batch: int | None = None,
 ) -> dict[str, int]:
@@ -162,9 +162,9 @@ def stream_silver(
 
     Without a watermark every key ever seen is remembered, which suits dimension
     tables; ``ROCKSDB_STATE`` keeps many keys off the heap. With a watermark
-    (column, delay) only keys inside the delay are. Copies are first dropped per key and
-    salt, so that one key with very many copies is not read by a single task; ``salts=1``
-    leaves that step out. The first run fixes the number of state partitions:
+    (column, delay) only keys inside the delay are. With ``salts`` copies are first dropped
+    per key and salt, so that one key with very many copies is not read by a single task;
+    that keeps more state. The first run fixes the number of state partitions:
     ``state_partitions``, or the session's shuffle partitions. ``files_per_batch`` bounds a
     micro-batch. Returns the failures per rule over all micro-batches of the run.
     """
@@ -221,7 +221,7 @@ def run_medallion(
 def daily_profile_stream(
     rows: DataFrame, ts: str, value: str, delay: str = "1 hour"
 ) -> DataFrame:
-    """Daily counts and range of a column as a tumbling window; late rows are dropped."""
+    """Daily counts, range and moments of a column as a tumbling window; late rows are dropped."""
     x = F.col(value).cast("double")
     return (
         rows.withColumn(ts, F.col(ts).cast("timestamp"))
@@ -233,6 +233,11 @@ def daily_profile_stream(
             F.min(x).alias("min_value"),
             F.max(x).alias("max_value"),
             F.sum(x).alias("sum_value"),
+            F.avg(x).alias("mean_value"),
+            F.stddev_samp(x).alias("stddev_value"),
+        )
+        .select(
+            F.to_date("w.start").alias("day"), "rows", "nulls", "min_value", "max_value",
+            "sum_value", "mean_value", "stddev_value",
         )
-        .select(F.to_date("w.start").alias("day"), "rows", "nulls", "min_value", "max_value", "sum_value")
     )
