@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from reelgrove.llm.common import kept
 
-PAGE = 128
+PAGE = 256
 PART_ROWS = 8192
 MAX_CELLS = 1024
 QUERY_BLOCK = 2048
@@ -133,22 +133,26 @@ def search(pages: list[dict], query: np.ndarray, own_row: int, k: int, least: fl
 
     limit = reach_of(least) if np.isfinite(least) else np.inf
     scores, ids, rows = np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    queue = [(0.0, 0, np.nan)] if pages else []
+    queue = [(0.0, 0, None)] if pages else []
     while queue:
         nearest, number, to_object = heapq.heappop(queue)
         if nearest > limit:
             break
         page = pages[number]
         at = slice(None)
-        if not np.isnan(to_object):  # bounds from stored distances, before any is computed
-            at = np.flatnonzero(np.abs(to_object - page["to_parent"]) - page["radii"] <= limit)
-            if not len(at):
+        if to_object is not None:  # bounds from stored distances, before any is computed
+            open_entries = np.abs(to_object - page["to_parent"]) - page["radii"] <= limit
+            left = np.count_nonzero(open_entries)
+            if not left:
                 continue
+            if left < len(open_entries) // 2:  # picking more costs what it saves
+                at = np.flatnonzero(open_entries)
         found = page["vectors"][at] @ query
         if page["is_leaf"]:
-            keep = (found >= least) & (page["rows"][at] != own_row)
+            keep = found >= least
             if not keep.any():
                 continue
+            keep &= page["rows"][at] != own_row
             scores = np.r_[scores, found[keep]]
             ids = np.r_[ids, page["ids"][at][keep]]
             rows = np.r_[rows, page["rows"][at][keep]]
