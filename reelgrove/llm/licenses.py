@@ -2,9 +2,10 @@
 
 A paragraph's words give hashed features of one to three words. A multinomial logistic
 regression, trained here, tells licence families from ordinary text. Its probabilities are
-calibrated with a temperature on held-out examples; the same examples set the probability
-below which a likely notice is ``unknown``, held-out prose the one that makes a notice. A predicted family holds only if the paragraph
-also contains enough of the word pairs of one of its notice templates.
+calibrated with a temperature on held-out examples, which also set the probability below
+which a likely notice is ``unknown``; held-out prose sets the one that makes a notice. A
+predicted family holds only if the paragraph also contains enough of the word pairs of one
+of its notice templates.
 """
 
 from __future__ import annotations

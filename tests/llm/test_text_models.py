@@ -3,7 +3,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
