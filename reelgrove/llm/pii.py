@@ -25,6 +25,10 @@ ROUNDS = 8
 _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2099, 12, 31).toordinal() - _FIRST_DAY + 1
 _ALPHABETS = (string.digits, string.ascii_lowercase, string.ascii_uppercase)
+# Calling codes of one and two digits; all others have three.
+_SHORT_CODES = {"1", "7", "20", "27", "36", "39", "98", *map(str, range(30, 35)), *map(str, range(40, 42))} | {
+    *map(str, range(43, 50)), *map(str, range(51, 59)), *map(str, range(60, 67)), "81", "82", "84", "86", *map(str, range(90, 96))
+}
 
 
 class Feistel:
@@ -102,12 +106,22 @@ def card(f: Feistel, found: str) -> str | None:
     return in_layout(found, body + str(luhn_digit(body)))
 
 
+def calling_code(digits: str) -> str:
+    """The country's code at the start of an international number."""
+    return next((digits[:n] for n in (1, 2) if digits[:n] in _SHORT_CODES), digits[:3])
+
+
 def phone(f: Feistel, found: str) -> str | None:
+    """The national digits change, the country code and a trunk zero as in ``(0)`` stay."""
     digits = only_digits(found)
-    country = len(re.match(r"\+?(\d*)", found)[1]) if found.startswith("+") else 0
-    if not 7 <= len(digits) - country or len(digits) > 15:
+    if not found.startswith("+"):
+        return in_layout(found, _digits(f, "phone", digits))
+    if not 8 <= len(digits) <= 15:
         return None
-    return in_layout(found, digits[:country] + _digits(f, "phone", digits[country:]))
+    code = calling_code(digits)
+    rest = digits[len(code) :]
+    trunk = "0" if re.sub("[^0-9()]", "", found)[len(code) :].startswith("(0)") else ""
+    return in_layout(found, code + trunk + _digits(f, "phone", rest[len(trunk) :]))
 
 
 def ipv4(f: Feistel, found: str) -> str | None:
@@ -201,7 +215,7 @@ KINDS: list[tuple[str, str, Callable[[Feistel, str], str | None]]] = [
     ("card", r"(?<![\w])\d(?:[ -]?\d){12,18}(?!\w)", card),
     (
         "phone",
-        r"(?<![\w+])(?:\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)",
+        r"(?<![\w+])(?:\+\d(?:[ .-]?\(?\d\)?){7,18}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)",
         phone,
     ),
 ]

@@ -56,6 +56,22 @@ def test_equal_values_stay_linked_whatever_their_layout():
     assert [int(p) for p in changed("on 9.3.2001 ")[1][0][1].split(".")] == [int(p) for p in reversed(iso)]
 
 
+def test_phones_stay_linked_whatever_their_layout():
+    for layouts in (
+        ("+14155550123", "+1 (415) 555-0123", "+1-415-555-0123", "+1415 5550123"),
+        ("+442079460958", "+44 20 7946 0958", "+44 (0)20 7946 0958", "+44 (0) 2079460958"),
+        ("+35312345678", "+353 1 234 5678"),
+    ):
+        found = [changed(f"call {t}, please")[1] for t in layouts]
+        assert all([k for k, _ in kinds] == ["phone"] for kinds in found)
+        digits = {pii.only_digits(kinds[0][1].replace("(0)", "")) for kinds in found}
+        assert len(digits) == 1 and digits != {pii.only_digits(layouts[0])}
+        code = pii.calling_code(layouts[0][1:])
+        assert digits.pop().startswith(code)
+    # Without its country code the number keeps the same national pseudonym.
+    assert pii.only_digits(changed("(415) 555-0123")[0]) == pii.only_digits(changed("+14155550123")[0])[1:]
+
+
 def test_what_is_not_valid_stays():
     for text in (
         "4111111111111112", "300.1.2.3", "2023-02-30", "000-12-3456", "Version 2.0.", "just text", "", "a@b",
