@@ -29,6 +29,34 @@ _ALPHABETS = (string.digits, string.ascii_lowercase, string.ascii_uppercase)
 _SHORT_CODES = {"1", "7", "20", "27", "36", "39", "98", *map(str, range(30, 35)), *map(str, range(40, 42))} | {
     *map(str, range(43, 50)), *map(str, range(51, 59)), *map(str, range(60, 67)), "81", "82", "84", "86", *map(str, range(90, 96))
 }
+# Digits of a national number behind the calling code, least and most.
+_NATIONAL = {
+    "1": (10, 10), "7": (10, 10), "20": (8, 10), "27": (9, 9), "30": (10, 10), "31": (9, 9), "32": (8, 9), "33": (9, 9),
+    "34": (9, 9), "36": (8, 9), "40": (9, 9), "41": (9, 9), "44": (9, 10), "45": (8, 8), "46": (7, 9), "47": (8, 8),
+    "48": (9, 9), "51": (8, 9), "52": (10, 10), "54": (10, 11), "55": (10, 11), "56": (9, 9), "57": (10, 10), "60": (8, 10),
+    "61": (9, 9), "63": (8, 10), "64": (8, 10), "65": (8, 8), "66": (8, 9), "81": (9, 10), "82": (8, 10), "84": (9, 10),
+    "86": (10, 11), "90": (10, 10), "91": (10, 10), "92": (9, 10), "94": (9, 9), "98": (10, 10), "212": (9, 9),
+    "234": (8, 10), "254": (9, 9), "351": (9, 9), "353": (7, 9), "354": (7, 7), "370": (8, 8), "371": (8, 8), "372": (7, 8),
+    "380": (9, 9), "385": (8, 9), "386": (8, 8), "420": (9, 9), "421": (9, 9), "852": (8, 8), "886": (8, 9), "880": (10, 10),
+    "966": (9, 9), "971": (8, 9), "972": (8, 9),
+}
+# Characters of an IBAN by country.
+_IBAN_LENGTHS = {
+    country: size
+    for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+# First digits and lengths of the large card issuers.
+_ISSUED = re.compile(
+    r"4(?:\d{12}|\d{15}|\d{18})|(?:5[1-5]\d\d|222[1-9]|22[3-9]\d|2[3-6]\d\d|27[01]\d|2720)\d{12}|3[47]\d{13}"
+    r"|3(?:0[0-5]|[689]\d)\d{11}|(?:6011|64[4-9]\d|65\d\d|62\d\d|35[2-8]\d)\d{12,15}"
+)
+_CARD_GROUPS = re.compile(r"\d{13,19}|\d{4}([ -])(?:\d{4}\1){2,3}\d{1,4}|\d{4}([ -])\d{6}\2\d{4,5}")
 
 
 class Feistel:
@@ -98,10 +126,17 @@ def _characters(f: Feistel, kind: str, text: str) -> str:
     return "".join(reversed(out))
 
 
-def card(f: Feistel, found: str) -> str | None:
+def card_digits(found: str) -> str | None:
     digits = only_digits(found)
     if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != int(digits[-1]):
         return None
+    return digits
+
+
+def card(f: Feistel, found: str) -> str | None:
+    digits = card_digits(found)
+    if digits is None:
+        return None
     body = _digits(f, "card", digits[:-1])
     return in_layout(found, body + str(luhn_digit(body)))
 
@@ -111,17 +146,24 @@ def calling_code(digits: str) -> str:
     return next((digits[:n] for n in (1, 2) if digits[:n] in _SHORT_CODES), digits[:3])
 
 
+def national(found: str) -> tuple[str, str, str]:
+    """Country code, trunk zero as in ``(0)``, and the national digits."""
+    digits = only_digits(found)
+    code = calling_code(digits)
+    rest = digits[len(code) :]
+    trunk = "0" if re.sub("[^0-9()]", "", found)[len(code) :].startswith("(0)") else ""
+    return code, trunk, rest[len(trunk) :]
+
+
 def phone(f: Feistel, found: str) -> str | None:
-    """The national digits change, the country code and a trunk zero as in ``(0)`` stay."""
+    """The national digits change, the country code and a trunk zero stay."""
     digits = only_digits(found)
     if not found.startswith("+"):
         return in_layout(found, _digits(f, "phone", digits))
     if not 8 <= len(digits) <= 15:
         return None
-    code = calling_code(digits)
-    rest = digits[len(code) :]
-    trunk = "0" if re.sub("[^0-9()]", "", found)[len(code) :].startswith("(0)") else ""
-    return in_layout(found, code + trunk + _digits(f, "phone", rest[len(trunk) :]))
+    code, trunk, rest = national(found)
+    return in_layout(found, code + trunk + _digits(f, "phone", rest))
 
 
 def ipv4(f: Feistel, found: str) -> str | None:
@@ -196,6 +238,49 @@ def access_key(f: Feistel, found: str) -> str | None:
     return found[:4] + _characters(f, "access", found[4:])
 
 
+def shorter(found: str) -> list[str]:
+    """The text and its beginnings that end at a separator, longest first."""
+    ends = [m.end() for m in re.finditer(r"[A-Za-z0-9](?![A-Za-z0-9])", found)]
+    return [found[:end] for end in reversed(ends)]
+
+
+def cards(found: str) -> Iterator[str]:
+    """An issuer's number before other ones, so that no expiry date or code is part of it.
+
+    Longest first in each group. What has no issuer's form is read whole or in the groups
+    of a card, and only where no issuer's number begins further behind.
+    """
+    every = [t for t in shorter(found) if card_digits(t)]
+    issued = [t for t in every if _ISSUED.fullmatch(only_digits(t))]
+    yield from issued
+    for start in re.finditer(r"(?<=[ -])\d", found) if every and not issued else ():
+        if any(_ISSUED.fullmatch(only_digits(t)) and card_digits(t) for t in shorter(found[start.start() :])):
+            return
+    yield from (t for t in every if t == found or _CARD_GROUPS.fullmatch(t))
+
+
+def phones(found: str) -> Iterator[str]:
+    """The longest reading of a national length of its country, then any."""
+    if not found.startswith("+"):
+        yield found
+        return
+    every = shorter(found)
+    for text in every:
+        code, _, rest = national(text)
+        least, most = _NATIONAL.get(code, (5, 15))
+        if least <= len(rest) <= most:
+            yield text
+    yield from every
+
+
+def ibans(found: str) -> Iterator[str]:
+    """The reading of the country's length, then any."""
+    every = shorter(found)
+    size = _IBAN_LENGTHS.get(found[:2])
+    yield from (t for t in every if len(t.replace(" ", "")) == size)
+    yield from every
+
+
 # Tried from left to right at every place of a text; a failed check leaves the text as it is
 # and the search goes on behind its first character.
 KINDS: list[tuple[str, str, Callable[[Feistel, str], str | None]]] = [
@@ -210,7 +295,7 @@ KINDS: list[tuple[str, str, Callable[[Feistel, str], str | None]]] = [
     ("access_key", r"(?<![A-Za-z0-9])A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])", access_key),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", iban),
     ("ipv4", r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)", ipv4),
-    ("date", r"(?<![\w./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\w/-])", date),
+    ("date", r"(?<![\w./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?!(?![Tt]\d)[\w/-])", date),
     ("social_number", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", social_number),
     ("card", r"(?<![\w])\d(?:[ -]?\d){12,18}(?!\w)", card),
     (
@@ -221,6 +306,7 @@ KINDS: list[tuple[str, str, Callable[[Feistel, str], str | None]]] = [
 ]
 _FIND = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern, _ in KINDS))
 _WRITE = {name: write for name, _, write in KINDS}
+_READINGS = {"card": cards, "phone": phones, "iban": ibans}
 _HINT = re.compile(r"[0-9@]|(?i:passw|secret|token|api_?key)")
 
 SPANS = T.ArrayType(
@@ -232,31 +318,41 @@ SPANS = T.ArrayType(
 )
 
 
+def written(kind: str, found: str, f: Feistel) -> tuple[int, str] | None:
+    """Length and pseudonym of the first reading that passes the kind's check."""
+    for reading in _READINGS.get(kind, lambda t: (t,))(found):
+        new = _WRITE[kind](f, reading)
+        if new is not None:
+            return len(reading), new
+    return None
+
+
 def pseudonymised(text: str, f: Feistel) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and their kinds and places in it."""
     if not _HINT.search(text):
         return text, []
     out, spans, copied, at, length = [], [], 0, 0, 0
     while match := _FIND.search(text, at):
-        kind = match.lastgroup
-        new = _WRITE[kind](f, match[0])
-        if new is None:
-            # Another kind, or a shorter reading, may hold where this one does not.
+        kind, start = match.lastgroup, match.start()
+        found = written(kind, match[0], f)
+        if found is None:
+            # Another kind may hold where no reading of this one does.
             for other, pattern in _OTHERS[kind]:
-                again = pattern.match(text, match.start())
-                new = again and _WRITE[other](f, again[0])
-                if new is not None:
-                    kind, match = other, again
+                again = pattern.match(text, start)
+                found = again and written(other, again[0], f)
+                if found:
+                    kind = other
                     break
-        if new is None:
-            at = match.start() + 1
+        if not found:
+            at = start + 1
             continue
-        before = text[copied : match.start()]
+        size, new = found
+        before = text[copied:start]
         length += len(before)
         spans.append((kind, length, length + len(new)))
         out += [before, new]
         length += len(new)
-        copied = at = max(match.end(), match.start() + 1)
+        copied = at = start + max(size, 1)
     return "".join([*out, text[copied:]]), spans
 
 
@@ -272,7 +368,8 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFra
     Found are e-mail addresses, card numbers (check digit), telephone numbers (country code
     or the form with an area code), IPv4 addresses, dates from 1900 to 2099, social security
     numbers, IBANs (check number), access keys, and values behind words like password or
-    token. ``pii_spans`` lists kind, start and end (characters of the new text); an empty
+    token. A number directly behind a card, IBAN or telephone number is no part of it; where
+    a country's telephone numbers vary in length, the longest reading holds. ``pii_spans`` lists kind, start and end (characters of the new text); an empty
     list where nothing was found, also for NULL texts, which stay NULL. All columns and rows
     are kept; a column ``pii_spans`` of the input is replaced. Row by row, nothing is shuffled.
     """

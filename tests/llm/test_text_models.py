@@ -72,6 +72,28 @@ def test_phones_stay_linked_whatever_their_layout():
     assert pii.only_digits(changed("(415) 555-0123")[0]) == pii.only_digits(changed("+14155550123")[0])[1:]
 
 
+def test_what_follows_a_value_is_no_part_of_it():
+    for value, kind, tails in (
+        ("4111 1111 1111 1111", "card", (" 12/27", " 123", " 737", " 2027", "-12", " 4111")),
+        ("4111111111111111", "card", (" 12/27", " 123")),
+        ("3782 822463 10005", "card", (" 1234", " 12 27")),
+        ("ES91 2100 0418 4502 0005 1332", "iban", (" BIC", " CODE", " SWIFT", " 12")),
+        ("DE89370400440532013000", "iban", (" BIC", " COBADEFF")),
+        ("+1 212 555 0123", "phone", (" 42", " 4242 1234", "-7", " 2024-02-29")),
+        ("+44 20 7946 0958", "phone", (" 42", " 12 13 14 15")),
+        ("2024-02-29", "date", ("T10:00:00Z", " 10:00", "t10")),
+        ("31.12.1999", "date", ("T10",)),
+    ):
+        (alone,) = changed(f"see {value}, then")[1]
+        assert alone[0] == kind and alone[1] != value
+        for tail in tails:
+            new, found = changed(f"see {value}{tail} then")
+            assert found[0] == alone and new.startswith(f"see {alone[1]}"), tail
+            assert kind == "phone" and "2024" in tail or new == f"see {alone[1]}{tail} then"
+    # A number in front leaves the card whole, also where a beginning passes the check.
+    assert changed("27 4111 1111 1111 1111")[1] == changed("x 4111 1111 1111 1111")[1]
+
+
 def test_what_is_not_valid_stays():
     for text in (
         "4111111111111112", "300.1.2.3", "2023-02-30", "000-12-3456", "Version 2.0.", "just text", "", "a@b",
