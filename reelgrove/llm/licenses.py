@@ -97,30 +97,41 @@ class Units:
 
 
 def units(texts: pa.Array) -> Units:
-    """Lower-cased words of letters and digits, in windows that no line end crosses.
+    """Lower-cased words of letters and digits, in windows over paragraphs.
 
-    A paragraph above ``WINDOW`` words has windows every ``STRIDE`` words up to its end.
+    Lines without a blank one between are one paragraph, as notices are wrapped; a line of
+    comment leaders alone is blank. Its number is that of its first line. A paragraph above
+    ``WINDOW`` words has windows every ``STRIDE`` words up to its end.
     """
-    plain = pc.replace_substring_regex(
-        pc.utf8_lower(pc.fill_null(texts, "")), r"[^\p{L}\p{N}\n]+", " "
-    )
+    whole = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"\r\n?", "\n")
+    # A comment leader that is a word, as in batch files and typesetting macros.
+    bare = pc.replace_substring_regex(whole, r"(?m)^[ \t]*(?:rem|dnl)\b", "")
+    plain = pc.replace_substring_regex(bare, r"[^\p{L}\p{N}\n]+", " ")
     lines = pc.split_pattern(plain, "\n")
     line_ends = lines.offsets.to_numpy().astype(np.int64)
     line_ends -= line_ends[0]
     coded, offsets = words_of(lines.flatten())
+    # A paragraph begins at a line with words behind one without, and in every text anew.
+    filled = np.diff(offsets) > 0
+    begins = filled.copy()
+    begins[1:] &= ~filled[:-1]
+    opening = line_ends[:-1][np.diff(line_ends) > 0]
+    begins[opening] = filled[opening]
+    heads = np.flatnonzero(begins)
+    offsets = np.r_[offsets[heads], offsets[-1]].astype(np.int64)
     sizes = np.diff(offsets)
     count = np.where(sizes > WINDOW, -(-(sizes - WINDOW) // STRIDE) + 1, (sizes > 0).astype(np.int64))
     line = np.repeat(np.arange(len(sizes)), count)
     rank = np.arange(len(line)) - np.repeat(np.cumsum(count) - count, count)
     inside = np.minimum(rank * STRIDE, np.maximum(sizes[line] - WINDOW, 0))
     first = offsets[:-1][line] + inside
-    text = np.searchsorted(line_ends, line, "right") - 1
+    text = np.searchsorted(line_ends, heads[line], "right") - 1
     return Units(
         code64(coded.dictionary.to_pylist())[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.uint64),
         coded,
         first,
         np.minimum(first + WINDOW, offsets[1:][line]),
-        line - line_ends[text],
+        heads[line] - line_ends[text],
         text,
     )
 
@@ -246,7 +257,8 @@ def train(prose: list[str], rounds: int = 100) -> Model:
 def similarity(words: list[str], family: str) -> tuple[float, str | None, int]:
     """The best share of word pairs in common with the family's templates, and which one.
 
-    The third is the most pairs in common with any template.
+    Which one is None where templates of different versions tie. The third is the most pairs
+    in common with any template.
     """
     own = set(zip(words, words[1:]))
     best: tuple[float, str | None] = (0.0, None)
@@ -255,7 +267,11 @@ def similarity(words: list[str], family: str) -> tuple[float, str | None, int]:
         both = len(own & pairs)
         most = max(most, both)
         if name == family and both >= 3:
-            best = max(best, (both / min(len(own), len(pairs)), identifier), key=lambda x: x[0])
+            share = both / min(len(own), len(pairs))
+            if share > best[0]:
+                best = (share, identifier)
+            elif share == best[0] and identifier != best[1]:
+                best = (share, None)
     return *best, most
 
 
@@ -287,25 +303,37 @@ _NOTICES = pa.list_(pa.struct([(n, a) for n, _, a in FIELDS]))
 
 
 def notices(model: Model, texts: pa.Array) -> list[list[dict]]:
-    """Per text its notices in order; the surest window stands for a paragraph."""
+    """Per text its notices in order: for a paragraph the surest of every family and all whole
+    templates, or the surest unknown one."""
     out: list[list[dict]] = [[] for _ in range(len(texts))]
     u = units(texts)
     if not len(u.first):
         return out
     chance = softmax((window_sums(u, model.weights) + model.bias) / model.temperature)
-    best: dict[tuple[int, int], tuple] = {}
+    best: dict[tuple[int, int], dict[tuple, tuple]] = {}
     for i in np.flatnonzero(1 - chance[:, 0] >= model.notice):
         c = int(chance[i, 1:].argmax()) + 1
         words = u.coded[u.first[i] : u.last[i]].to_pylist()
         share, identifier, common = similarity(words, model.classes[c])
         if common < 2:  # words of notices, but not put together as in one
             continue
-        firm = chance[i, c] >= model.threshold and share >= MIN_SIMILARITY
-        found = (bool(firm), float(chance[i, c]), model.classes[c], identifier if firm else UNKNOWN, float(share))
-        place = (int(u.text[i]), int(u.paragraph[i]))
-        best[place] = max(best.get(place, found), found, key=lambda x: x[:2])
-    for (text, paragraph), (_, p, family, identifier, share) in sorted(best.items()):
-        out[text].append({"paragraph": paragraph, "family": family, "license": identifier, "probability": p, "similarity": share})
+        firm = identifier and chance[i, c] >= model.threshold and share >= MIN_SIMILARITY
+        family = model.classes[c]
+        seen = [((family, None if firm else UNKNOWN), (float(chance[i, c]), identifier if firm else UNKNOWN, float(share)))]
+        own = set(zip(words, words[1:]))
+        for other, name, pairs in _template_pairs():
+            if pairs <= own:  # a whole notice beside others
+                seen.append(((other, name), (float(chance[i, model.classes.index(other)]), name, 1.0)))
+        kept = best.setdefault((int(u.text[i]), int(u.paragraph[i])), {})
+        for key, found in seen:
+            kept[key] = max(kept.get(key, found), found, key=lambda x: x[0])
+    for (text, paragraph), kept in sorted(best.items()):
+        whole = {family for family, name in kept if name not in (None, UNKNOWN)}
+        sure = {k: v for k, v in kept.items() if k[1] != UNKNOWN and (k[1] or k[0] not in whole)}
+        if not sure:
+            sure = dict([max(kept.items(), key=lambda x: x[1][0])])
+        for (family, _), (p, identifier, share) in sorted(sure.items(), key=lambda x: (x[0][0], x[1][1])):
+            out[text].append({"paragraph": paragraph, "family": family, "license": identifier, "probability": p, "similarity": share})
     return out
 
 
@@ -329,10 +357,11 @@ def prose_sample(docs: DataFrame, bound: int = SAMPLE_DOCS, text_col: str = "tex
 
 
 def scan(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Add ``license_notices`` to every row: paragraph (line from 0), family, licence, scores.
+    """Add ``license_notices`` to every row: paragraph (its first line, from 0), family, licence, scores.
 
     ``license`` is the identifier of the template that confirms the predicted family, or
-    ``unknown`` where the calibrated probability or the likeness to a template is too low.
+    ``unknown`` where the calibrated probability or the likeness to a template is too low or
+    two versions tie.
     The list is empty without a notice, also for NULL and empty texts. Whole texts are
     read, long paragraphs in overlapping windows. All other columns and rows are kept; a
     column of that name is replaced. Row by row, nothing is shuffled.

@@ -1,8 +1,10 @@
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -200,6 +202,28 @@ def test_licences_are_found(spark, documents):
     assert [n["license"] for n in row.license_notices] == ["Apache-2.0"]
 
 
+def test_wrapped_licences_are_read_whole(documents):
+    model = licenses.train(licenses.prose_sample(documents))
+
+    def found(text):
+        return {(n["paragraph"], n["license"]) for n in licenses.notices(model, pa.array([text]))[0]}
+
+    for leader in ("", "# ", " * "):
+        right = []
+        for _, identifier, notice in licenses.TEMPLATES:
+            wrapped = "".join(f"{leader}{line}\n" for line in textwrap.wrap(notice, 72))
+            right.append((3, identifier) in found(f"Some words here.\n\n{leader}\n{wrapped}"))
+        assert np.mean(right) > 0.85
+    short = "This work is licensed under the GNU General Public License,"
+    assert found(f"{short}\nversion 2.") == {(0, "GPL-2.0")} and found(f"{short}\nversion 3.") == {(0, "GPL-3.0")}
+    two = "Released under the MIT License.\nLicensed under the Apache License, Version 2.0.\nLicensed under CC BY 4.0."
+    assert found(two) == {(0, "MIT"), (0, "Apache-2.0"), (0, "CC-BY-4.0")}  # none hides another
+    lesser = "Licensed under the GNU Lesser\nGeneral Public License, version 3."
+    assert found(lesser) == {(0, "LGPL-3.0")}
+    assert {n for _, n in found(short)} == {"unknown"}  # the version is not told
+    assert found(f"{short}\n\nversion 2.") == {(0, "unknown")}  # a blank line ends a paragraph
+
+
 def test_licence_of_documents(documents):
     model = licenses.train(licenses.prose_sample(documents))
     rows = licenses.scan(documents, model).collect()
