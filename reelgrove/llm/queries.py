@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelgrove.llm import bpe, chat, fingerprints, langid, licenses, mtree, ngram_join, packing, pii, sharding
+from reelgrove.llm import bpe, chat, fingerprints, infill, langid, licenses, mtree, ngram_join, packing, pii, sharding
 from reelgrove.llm.common import table
 from reelgrove.session import ship_package
 
@@ -171,3 +171,18 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), rate=50, spm=80, seed=42)
+    back = infill.restored(F.col("fim_text"), F.col("fim_form"))
+    return cut.select(
+        "doc_id",
+        F.col("fim_units").alias("n"),
+        F.col("fim_form").alias("form"),
+        F.col("fim_prefix_chars").alias("prefix_chars"),
+        F.col("fim_middle_chars").alias("middle_chars"),
+        F.sha2(F.col("fim_text").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
