@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelgrove.llm import bpe, chat, fingerprints, infill, langid, licenses, mtree, ngram_join, packing, pii, sharding
-from reelgrove.llm.common import table
+from reelgrove.llm import bpe, chat, dualtree, fingerprints, infill, langid, licenses, mtree, ngram_join, packing, pii, sharding
+from reelgrove.llm.common import kept, table
 from reelgrove.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,3 +187,59 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("fim_text").cast("binary"), 256).alias("output_sha256"),
         F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
     )
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    coded, books = dualtree.quantise(vectors, parts=16, entries=64, rounds=2, scale=256)
+    digest = hashlib.sha256(dualtree.codebook_text(books).encode()).hexdigest()
+    summed = dualtree.with_group_error(kept(coded, "vector_codes"), "label", "label_error")
+    return summed.select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256")
+    )
+
+
+def _nearest(book: str) -> str:
+    """Each part's nearest entry and its distance; products of whole numbers are exact."""
+    return f"""
+    SELECT rn, p, c, best % 64 AS e, best // 64 AS d FROM (
+        SELECT x.rn, x.p, any_value(x.c) AS c,
+               min(CAST(list_dot_product(x.c, x.c) - 2 * list_dot_product(x.c, b.c) + list_dot_product(b.c, b.c) AS BIGINT) * 64 + b.e) AS best
+        FROM parts x JOIN {book} b ON x.p = b.p GROUP BY x.rn, x.p)"""
+
+
+def _moved(near: str, book: str) -> str:
+    """Entries after a round: floored means, unused entries as they were."""
+    return f"""
+    SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM {book} b LEFT JOIN (
+        SELECT p, e, list(CAST((s - (s % n + n) % n) // n AS DOUBLE) ORDER BY i) AS c FROM (
+            SELECT p, e, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+            FROM (SELECT p, e, unnest(c) AS x, generate_subscripts(c, 1) AS i FROM {near}) GROUP BY p, e, i)
+        GROUP BY p, e) m ON b.p = m.p AND b.e = m.e"""
+
+
+ORACLE["op13_vector_codes"] = f"""
+WITH kept AS (
+    SELECT row_number() OVER (ORDER BY vec_id) AS rn, vec_id, label,
+           [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), parts AS (
+    SELECT rn, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS c FROM kept, range(16) AS t(p)
+), book0 AS (SELECT p, rn - 1 AS e, c FROM parts WHERE rn <= 64),
+near1 AS ({_nearest("book0")}), book1 AS ({_moved("near1", "book0")}),
+near2 AS ({_nearest("book1")}), book2 AS ({_moved("near2", "book1")}),
+near3 AS ({_nearest("book2")}),
+codes AS (
+    SELECT rn, string_agg(lower(format('{{:02x}}', e)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+    FROM near3 GROUP BY rn
+), digest AS (
+    SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+    FROM (SELECT p, e, CAST(unnest(c) AS BIGINT) AS x, generate_subscripts(c, 1) AS i FROM book2)
+)
+SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+       (SELECT codebooks_sha256 FROM digest) AS codebooks_sha256
+FROM kept k JOIN codes c ON k.rn = c.rn
+"""
