@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelgrove.llm import bpe, chat, dualtree, fingerprints, infill, langid, licenses, mtree, ngram_join, packing, pii, sharding
+from reelgrove.llm import bpe, chat, dualtree, fingerprints, infill, langid, licenses, mtree, ngram_join, packing, pii, sharding, wrappers
 from reelgrove.llm.common import kept, table
 from reelgrove.session import ship_package
 
@@ -189,6 +189,12 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = wrappers.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), output="text")
+    return read.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
