@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from reelgrove.operators.upsert import upsert_by_key
-from reelgrove.streaming.schemas import load_schema, save_schema, save_text
+from reelgrove.session import stored
+from reelgrove.streaming.schemas import grown, load_schema, save_schema
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,11 +60,12 @@ _BUCKET = "__bucket"
 
 
 class KeyedTable:
-    """A parquet table in buckets of its keys; a write replaces the buckets it touches.
+    """A parquet table partitioned by a hash of its keys; a write replaces what it touches.
 
-    Every write goes to a new version folder and holds only those buckets, all of them for
-    ``replace``. A version counts only when Spark's commit marker is in it, so a job that
-    fails half-way changes nothing. A writer first claims its number.
+    The merged rows are written to the shared folder first and from there over the partitions
+    that the changes fall into, so a job that fails while it merges changes nothing, and one
+    that fails while it overwrites is made good by running it again. One writer at a time, and
+    no readers during a write, as with any overwritten folder.
     """
 
     def __init__(
@@ -81,74 +81,48 @@ class KeyedTable:
         self.keys = [keys] if isinstance(keys, str) else list(keys)
         self.buckets = buckets
         self.bucket_by = list(bucket_by or self.keys)
-
-    def _found(self, pattern: str) -> list[str]:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
-        fs = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        return [str(s.getPath()) for s in fs.globStatus(path) or []]
-
-    def _versions(self) -> list[int]:
-        found = self._found("v=*/_SUCCESS")
-        return sorted(int(re.search(r"/v=(\d+)/_SUCCESS$", f).group(1)) for f in found)
+        self._schema_file = f"{path}.schema.json"
 
     def exists(self) -> bool:
-        return bool(self._versions())
-
-    def _folders(self, version: int) -> dict[int, str]:
-        """The newest folder of each bucket, back to the last version that wrote them all."""
-        folders: dict[int, str] = {}
-        for number in reversed([n for n in self._versions() if n <= version]):
-            for folder in self._found(f"v={number}/{_BUCKET}=*"):
-                folders.setdefault(int(folder.rpartition("=")[2]), folder)
-            if self._found(f"claims/{number}.all"):
-                break
-        return folders
-
-    def read(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
-        """A version, the newest unless one is given; with ``only`` some of its buckets."""
-        number = self._versions()[-1] if version is None else version
-        schema = load_schema(self.spark, f"{self.path}/claims/{number}.json")
-        folders = self._folders(number)
-        chosen = sorted(f for b, f in folders.items() if only is None or b in only)
-        if not chosen:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*chosen)
+        return load_schema(self.spark, self._schema_file) is not None
+
+    def read(self, only: Sequence[int] | None = None) -> DataFrame:
+        """All rows; with ``only`` those of some partitions."""
+        schema = load_schema(self.spark, self._schema_file)
+        rows = self.spark.read.schema(
+            T.StructType([*schema.fields, T.StructField(_BUCKET, T.IntegerType())])
+        ).parquet(self.path)
+        if only is not None:
+            rows = rows.where(F.col(_BUCKET).isin(list(only)))
+        return rows.drop(_BUCKET)
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
         texts = [F.col(c).cast("string") for c in self.bucket_by]  # whatever width a number has
-        return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*texts), F.lit(self.buckets)))
-
-    def _write(self, df: DataFrame, whole: bool) -> DataFrame:
-        number = self._claim()
-        save_schema(self.spark, f"{self.path}/claims/{number}.json", df.schema)
-        if whole:
-            save_text(self.spark, f"{self.path}/claims/{number}.all", "")
-        rows = self._bucketed(df).hint("rebalance", _BUCKET)
-        rows.write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{self.path}/v={number}")
-        return self.read(number)
-
-    def _claim(self) -> int:
-        """The next version number, which a file that only one writer can create makes its own."""
-        versions = self._versions()
-        number = versions[-1] + 1 if versions else 1
-        while True:
-            claim = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/claims/{number}")
-            fs = claim.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-            try:
-                fs.create(claim, False).close()
-                return number
-            except Py4JJavaError:
-                if not fs.exists(claim):
-                    raise
-                number += 1  # another writer has it, or had it and failed
+        return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*texts), F.lit(self.buckets)).cast("int"))
+
+    def _overwrite(self, df: DataFrame, mode: str) -> DataFrame:
+        """Write the rows over the partitions they are in, or over the whole folder."""
+        staged = stored(self._bucketed(df), "staged")
+        # Merged rows have the old columns too, of the same or a wider type.
+        save_schema(self.spark, self._schema_file, grown(None, df.schema))
+        writer = staged.hint("rebalance", _BUCKET).write.mode("overwrite").partitionBy(_BUCKET)
+        writer.option("partitionOverwriteMode", mode).parquet(self.path)
+        return staged
 
     def replace(self, df: DataFrame) -> DataFrame:
-        return self._write(df, whole=True)
+        self._overwrite(df, "static")
+        return self.read()
 
     def rewrite(self, changes: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Put ``merge(rows)`` in place of the rows in the buckets that ``changes`` touch."""
-        touched = [r[0] for r in self._bucketed(changes).select(_BUCKET).distinct().collect()]
-        return self._write(merge(self.read(only=touched)), whole=False)
+        """Put ``merge(rows)`` in place of the rows in the partitions that ``changes`` touch."""
+        touched = {r[0] for r in self._bucketed(changes).select(_BUCKET).distinct().collect()}
+        staged = self._overwrite(merge(self.read(only=sorted(touched))), "dynamic")
+        # A partition that lost all of its rows is not in the write.
+        left = {r[0] for r in staged.select(_BUCKET).distinct().collect()}
+        for bucket in sorted(touched - left):
+            empty = staged.drop(_BUCKET).limit(0)
+            empty.write.mode("overwrite").parquet(f"{self.path}/{_BUCKET}={bucket}")
+        return self.read()
 
     def upsert(self, source: DataFrame, check: bool = True) -> DataFrame:
         if not self.exists():

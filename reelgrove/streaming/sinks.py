@@ -44,7 +44,7 @@ def stream_scd2(
     checkpoint: str,
 ) -> None:
     """Add each micro-batch of changes to a history table, in the buckets of its keys only."""
-    table.bucket_by = list(keys)
+    table = KeyedTable(table.spark, table.path, table.keys, table.buckets, bucket_by=keys)
 
     def apply(batch: DataFrame, _: int) -> None:
         if table.exists():
