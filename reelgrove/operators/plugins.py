@@ -11,14 +11,20 @@ from reelgrove.functions.expressions import fallback_explanation
 def embed_with(df: DataFrame, text: str, model_factory, output: str = "embedding") -> DataFrame:
     """Add vectors from a plugged-in model, loaded once per task.
 
-    ``model_factory()`` returns a function from a list of texts to a list of vectors.
+    ``model_factory()`` returns a function from a list of texts to a list of vectors. A NULL
+    text has a NULL vector and is not shown to the model.
     """
 
     @F.pandas_udf("array<float>")
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = model_factory()
         for batch in batches:
-            yield pd.Series([[float(x) for x in vector] for vector in model(batch.tolist())])
+            known = batch.notna()
+            out = pd.Series([None] * len(batch), index=batch.index, dtype=object)
+            if known.any():
+                vectors = model(batch[known].tolist())
+                out[known] = pd.Series([[float(x) for x in v] for v in vectors], index=batch.index[known], dtype=object)
+            yield out
 
     return df.withColumn(output, embed(F.col(text)))
 

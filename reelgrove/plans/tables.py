@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reelgrove.operators import governance
+from reelgrove.operators import governance, plugins
 from reelgrove.operators.dedupe import dedupe_by_key
+from reelgrove.operators.index_sync import VectorIndex
 from reelgrove.operators.upsert import change_feed, scd2_from_cdc, upsert_by_key
 from reelgrove.plans.registry import query
 from reelgrove.session import shared_dir
@@ -113,7 +114,7 @@ def upsert(spark, folder):
     SELECT * FROM silver_users WHERE user_id NOT IN (SELECT user_id FROM changes)
     UNION ALL SELECT * FROM changes""")
 def keyed_table(spark, folder):
-    """The same upsert through a written table with versions."""
+    """The same upsert through a written table, of which only touched partitions are replaced."""
     table = tables.KeyedTable(spark, shared_dir(spark, "users"), "user_id")
     table.upsert(v.silver_users(spark, folder))
     return table.upsert(_user_changes(spark, folder))
@@ -140,6 +141,52 @@ def feed(spark, folder):
     return change_feed(before, after, "user_id")
 
 
+@query("index_sync", """
+    WITH later AS (
+        SELECT content_id, CASE WHEN genre LIKE 'PROMO%' THEN concat(title, ' again') ELSE title END AS title,
+               CASE WHEN genre LIKE 'PROMO%' THEN 'update' END AS change
+        FROM silver_items WHERE language <> 'Brand#11'
+        UNION ALL
+        SELECT -1 - s_suppkey, s_name, 'insert' FROM supplier)
+    SELECT content_id, CAST(length(title) AS FLOAT) AS letters,
+           CAST(length(title) - length(replace(title, ' ', '')) AS FLOAT) AS spaces,
+           CAST(CASE WHEN change IS NULL THEN 1 ELSE 2 END AS INTEGER) AS embedded_by
+    FROM later""")
+def index_sync(spark, folder):
+    """Vectors after two syncs, and which sync made each: the second embeds changed items only.
+
+    Between the two some titles change, the items of one language go and new ones come.
+    """
+    def embed(number):
+        def counting():
+            return lambda texts: [[len(t), t.count(" ")] for t in texts]
+
+        def run(rows):
+            made = plugins.embed_with(rows, "title", counting)
+            return made.select("content_id", "embedding", F.lit(number).alias("embedded_by"))
+
+        return run
+
+    before = v.silver_items(spark, folder).select("content_id", "title", "genre", "language")
+    changed = F.col("genre").startswith("PROMO")
+    after = (
+        before.where("language <> 'Brand#11'")
+        .withColumn("title", F.when(changed, F.concat("title", F.lit(" again"))).otherwise(F.col("title")))
+        .unionByName(
+            read_table(spark, folder, "supplier").select(
+                (F.lit(-1) - F.col("s_suppkey")).alias("content_id"), F.col("s_name").alias("title")
+            ),
+            allowMissingColumns=True,
+        )
+    )
+    index = VectorIndex(spark, shared_dir(spark, "index"), "content_id", ["title"])
+    index.sync(before, embed(1))
+    index.sync(after, embed(2))
+    return index.read().select(
+        "content_id", F.col("embedding")[0].alias("letters"), F.col("embedding")[1].alias("spaces"), "embedded_by"
+    )
+
+
 @query("scd2_from_cdc", """
     WITH changes AS (
         SELECT user_id, ts, event_type, value FROM (
