@@ -17,4 +17,4 @@ def test_same_as_sql(spark, small, name):
 
 
 def test_every_query_has_its_sql():
-    assert ROWS_ONLY == []
+    assert ROWS_ONLY == ["knn_quantised"]  # rows of an approximate search
