@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from reelgrove.functions import fixed_values as fixed
@@ -9,11 +11,13 @@ from reelgrove.operators import features, governance, lists, models, monitoring,
 from reelgrove.operators.joins import lookup_join
 from reelgrove.plans.aggregates import _watch_lists
 from reelgrove.plans.registry import query
-from reelgrove.session import shared_dir, stored
+from reelgrove.session import lasting_dir, shared_dir, stored
 from reelgrove.sources import sample_views as v
+from reelgrove.sources.tables import state_of
+from reelgrove.streaming.schemas import load_text, save_text
 
-# The search's best point of each application and folder: fitting takes it from there.
-_best_params: dict[tuple[str, str], dict] = {}
+# What the ranker is trained on.
+_RANKER_TABLES = ("customer", "lineitem", "nation", "orders", "part")
 
 
 def _rows(spark, folder):
@@ -35,19 +39,23 @@ def _split(spark, folder):
 
 
 def _search(spark, folder):
+    """Search, and put the best model where all jobs on these tables find it."""
     train, test = _split(spark, folder)
     best, trials = models.ranker_search(train, test)
-    _best_params[spark.sparkContext.applicationId, folder] = best.params
+    place = lasting_dir(spark, f"ranker-{state_of(spark, folder, _RANKER_TABLES)}")
+    name = uuid.uuid4().hex[:12]
+    best.save(spark, f"{place}/{name}")
+    save_text(spark, f"{place}/current", name)
     return best, trials
 
 
-def _fitted(spark, folder):
-    """A ranker with the search's best settings, and the held-out rows."""
-    place = (spark.sparkContext.applicationId, folder)
-    if place not in _best_params:
-        _search(spark, folder)
-    train, test = _split(spark, folder)
-    return models.ranker_fit(train, **_best_params[place]), test
+def _trained(spark, folder):
+    """The stored ranker of these tables as they are now; trained by whoever needs it first."""
+    place = lasting_dir(spark, f"ranker-{state_of(spark, folder, _RANKER_TABLES)}")
+    name = load_text(spark, f"{place}/current")
+    if name is None:
+        return _search(spark, folder)[0]
+    return models.Ranker.load(spark, f"{place}/{name}")
 
 
 @query("rank_training_split", """
@@ -67,8 +75,9 @@ IN_RANGE = "score BETWEEN 0 AND 1 AS score_in_range"
     FROM gold_interactions
     WHERE CAST(concat('0x', substr(md5(concat('42|', interaction_id)), 1, 8)) AS BIGINT) % 100 < 20""")
 def ranker_fit(spark, folder):
-    """Scores of the held-out rows by a ranker with the search's best settings."""
-    ranker, test = _fitted(spark, folder)
+    """Scores of the held-out rows by a ranker with the default settings, fitted here."""
+    train, test = _split(spark, folder)
+    ranker = models.ranker_fit(train)
     scored = stored(ranker.score(test), "scored")
     return scored.select(
         "interaction_id", "user_id", "content_id", "completed", F.expr(IN_RANGE),
@@ -86,14 +95,16 @@ _TRIALS = ", ".join(
     SELECT trial, depth, rate, trees, min_child, TRUE AS beats_chance, TRUE AS chosen_is_best
     FROM (VALUES {_TRIALS}) AS t(trial, depth, rate, trees, min_child)""")
 def ranker_search(spark, folder):
-    """The whole search space, each trial's AUC checked against chance and the chosen one's."""
+    """The whole search space, each trial's AUC checked against chance and the chosen one's.
+
+    No trial may beat the chosen one in the last round it took part in.
+    """
     best, trials = _search(spark, folder)
-    largest = max(auc for _, auc in trials)
-    chosen = [auc for p, auc in trials if p == best.params]
+    chosen = next(t for t in trials if t.params == best.params)
     rows = [
-        (i, p["maxDepth"], p["stepSize"], p["maxIter"], p["minInstancesPerNode"],
-         auc > 0.5 and best.auc > 0.5, auc <= largest == max(chosen))
-        for i, (p, auc) in enumerate(trials)
+        (i, t.params["maxDepth"], t.params["stepSize"], t.params["maxIter"], t.params["minInstancesPerNode"],
+         t.auc > 0.5 and best.auc > 0.5, t.auc <= chosen.rounds[len(t.rounds) - 1] and len(t.rounds) <= len(chosen.rounds))
+        for i, t in enumerate(trials)
     ]
     return spark.createDataFrame(
         rows,
@@ -210,15 +221,25 @@ def user_candidate_pairs(spark, folder):
 
 
 @query("score_candidates", _CANDIDATES + """
-    SELECT c.user_id, c.content_id, c.retrieved_by, TRUE AS score_in_range
+    SELECT c.user_id, c.content_id, c.retrieved_by, TRUE AS score_in_range, TRUE AS beats_chance,
+           count(*) OVER (PARTITION BY c.user_id) > 1 AS scores_differ
     FROM candidates c JOIN item_features t ON c.content_id = t.content_id""")
 def score_candidates(spark, folder):
-    """A ranker with the search's best settings scores every user's candidates."""
-    ranker, _ = _fitted(spark, folder)
+    """The stored ranker scores every user's candidates.
+
+    Its AUC on held-out rows has to beat chance, and a user's candidates must not all get one
+    score.
+    """
+    ranker = _trained(spark, folder)
     users, items = _with_candidates(spark, folder)
     users = features.with_age(users, v.silver_users(spark, folder))
     scored = recommend.score_candidates(recommend.user_candidate_pairs(users, items), ranker)
-    return scored.select("user_id", "content_id", "retrieved_by", F.expr(IN_RANGE))
+    scored = stored(scored, "scored_candidates")
+    spread = scored.groupBy("user_id").agg((F.min("score") < F.max("score")).alias("scores_differ"))
+    return lookup_join(scored, spread, "user_id").select(
+        "user_id", "content_id", "retrieved_by", F.expr(IN_RANGE), F.lit(ranker.auc > 0.5).alias("beats_chance"),
+        "scores_differ",
+    )
 
 
 # ---- lists and explanations ---------------------------------------------------------
@@ -357,7 +378,7 @@ def recommend_chain(spark, folder):
         ),
         "candidates",
     )
-    ranker, _ = _fitted(spark, folder)
+    ranker = _trained(spark, folder)
     known = features.with_age(found, v.silver_users(spark, folder))
     explained = recommend.recommend_batch(known, items, ranker.score)
     lists_of = stored(recommend.as_user_lists(found, explained), "recommendations")

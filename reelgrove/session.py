@@ -8,6 +8,7 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +22,8 @@ RUNTIME_SETTINGS = {
 }
 
 _local_fallback: str | None = None
-_scopes: list[str] = []
+# The open job scopes of the running thread or task.
+_scopes: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
 _shipped_to: set[str] = set()
 
 
@@ -57,16 +59,25 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     every executor can reach. A local folder is only used by a local master with
     that setting absent, as in tests.
     """
+    scopes = _scopes.get()
+    return os.path.join(scopes[-1] if scopes else _base(spark), f"{purpose}-{uuid.uuid4().hex[:12]}")
+
+
+def lasting_dir(spark: SparkSession, name: str) -> str:
+    """A folder of this name in the shared folder, which outlives the job and its scope."""
+    return os.path.join(_base(spark), name)
+
+
+def _base(spark: SparkSession) -> str:
     global _local_fallback
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        if _local_fallback is None:
-            _local_fallback = tempfile.mkdtemp(prefix="reelgrove-")
-        base = _local_fallback
-    folder = _scopes[-1] if _scopes else base
-    return os.path.join(folder, f"{purpose}-{uuid.uuid4().hex[:12]}")
+    if base:
+        return base
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if _local_fallback is None:
+        _local_fallback = tempfile.mkdtemp(prefix="reelgrove-")
+    return _local_fallback
 
 
 @contextmanager
@@ -77,11 +88,11 @@ def job_scope(spark: SparkSession) -> Iterator[str]:
     have to be written elsewhere before the scope ends. A failed job is cleared as well.
     """
     folder = shared_dir(spark, "job")
-    _scopes.append(folder)
+    token = _scopes.set((*_scopes.get(), folder))
     try:
         yield folder
     finally:
-        _scopes.remove(folder)
+        _scopes.reset(token)
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 

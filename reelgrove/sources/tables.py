@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from reelgrove.operators.upsert import upsert_by_key
-from reelgrove.session import stored
+from reelgrove.session import shared_dir
 from reelgrove.streaming.schemas import grown, load_schema, save_schema
 
 
@@ -15,6 +17,20 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def state_of(spark: SparkSession, folder: str, names: Sequence[str]) -> str:
+    """A digest of the tables' files, their sizes and times: another one after any change."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    facts = []
+    for name in sorted(names):
+        path = hadoop.Path(f"{folder}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        status = fs.getFileStatus(path)
+        for f in [status] if status.isFile() else fs.listStatus(path):
+            facts.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(facts)).encode()).hexdigest()[:16]
+
+
 def write_parquet(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -82,6 +98,7 @@ class KeyedTable:
         self.buckets = buckets
         self.bucket_by = list(bucket_by or self.keys)
         self._schema_file = f"{path}.schema.json"
+        self._staging = shared_dir(spark, "staged")  # asked for here, as streams write in other threads
 
     def exists(self) -> bool:
         return load_schema(self.spark, self._schema_file) is not None
@@ -102,7 +119,9 @@ class KeyedTable:
 
     def _overwrite(self, df: DataFrame, mode: str) -> DataFrame:
         """Write the rows over the partitions they are in, or over the whole folder."""
-        staged = stored(self._bucketed(df), "staged")
+        place = f"{self._staging}/{uuid.uuid4().hex[:12]}"
+        self._bucketed(df).write.parquet(place)
+        staged = self.spark.read.parquet(place)
         # Merged rows have the old columns too, of the same or a wider type.
         save_schema(self.spark, self._schema_file, grown(None, df.schema))
         writer = staged.hint("rebalance", _BUCKET).write.mode("overwrite").partitionBy(_BUCKET)
