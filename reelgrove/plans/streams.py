@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reelgrove.operators.joins import source_bytes
+from reelgrove.operators.quality import USER_RULES, expect_or_drop
 from reelgrove.plans.registry import query
 from reelgrove.session import shared_dir
 from reelgrove.sources import sample_views as v
@@ -84,6 +85,71 @@ def stream_equals_batch(spark, folder):
     return sums[0].unionByName(sums[1]).unionByName(sums[2])
 
 
+_LANDED_TWICE = """
+    WITH landed AS (
+        SELECT * FROM users
+        UNION ALL SELECT user_id, age - 1, country, segment, email, phone FROM users WHERE age % 3 = 0
+        UNION ALL SELECT user_id, CAST(NULL AS INTEGER), country, 'AAA', email, phone FROM users WHERE segment < 'F'),
+    firsts AS (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY age NULLS LAST, country NULLS LAST,
+            segment NULLS LAST, email NULLS LAST, phone NULLS LAST) AS rn FROM landed)"""
+
+
+@query("stream_dedupe_ordered", _LANDED_TWICE + """
+    SELECT user_id, age, country, segment, email, phone FROM firsts WHERE rn = 1 AND user_id IS NOT NULL""")
+def stream_dedupe_ordered(spark, folder):
+    """Users land in three files with copies that differ; the silver rows are the batch job's.
+
+    The lesser copy comes later for some users and the greater one for others.
+    """
+    base = shared_dir(spark, "ordered")
+    rows = v.users(spark, folder)
+    copies = [
+        rows,
+        rows.where("age % 3 = 0").withColumn("age", F.col("age") - 1),
+        rows.where("segment < 'F'").withColumns({"age": F.lit(None).cast("int"), "segment": F.lit("AAA")}),
+    ]
+    table = KeyedTable(spark, f"{base}/least", "user_id")
+    for part in copies:
+        write_parquet(part, f"{base}/bronze", mode="append")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/bronze")
+        sinks.stream_least(stream, table, f"{base}/checkpoint")
+    return expect_or_drop(table.read(), USER_RULES)
+
+
+@query("profile_daily_sketch", """
+    SELECT CAST(ts AS DATE) AS day, count(*) AS rows, TRUE AS distinct_within_error, TRUE AS quartiles_within_error
+    FROM events GROUP BY 1
+    HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+def profile_daily_sketch(spark, folder):
+    """Sketched distinct counts and quartiles of closed days, each held against the exact ones.
+
+    A quartile is right if its rank among the day's values is within the stated error.
+    """
+    base = shared_dir(spark, "sketch")
+    sketch = ingest.daily_sketch_stream(_events_stream(spark, folder), "ts", "value")
+    ingest.drain(sketch, f"{base}/profile", f"{base}/checkpoint")
+    written = spark.read.parquet(f"{base}/profile")
+    events = spark.read.parquet(f"{folder}/events.parquet").select(F.to_date("ts").alias("day"), "value")
+    facts = events.join(F.broadcast(written.drop("rows")), "day").groupBy("day").agg(
+        F.count_distinct("value").alias("exact"),
+        F.count("value").alias("known"),
+        *[F.count_if(F.col("value") < F.col(q)).alias(f"{q}_below") for q in ("p25", "p50", "p75")],
+        *[F.count_if(F.col("value") <= F.col(q)).alias(f"{q}_upto") for q in ("p25", "p50", "p75")],
+    )
+    checked = written.join(facts, "day")
+    slack = F.greatest(F.lit(1.0), ingest.RANK_ERROR * F.col("known"))
+    right = F.lit(True)
+    for q, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        rank = p * F.col("known")
+        right = right & (F.col(f"{q}_below") <= rank + slack) & (F.col(f"{q}_upto") >= rank - slack)
+    off = F.abs(F.col("distinct_values") - F.col("exact"))
+    return checked.select(
+        "day", "rows", (off <= F.greatest(F.lit(1.0), ingest.DISTINCT_ERROR * F.col("exact"))).alias("distinct_within_error"),
+        right.alias("quartiles_within_error"),
+    )
+
+
 @query("profile_daily_stream", """
     SELECT CAST(ts AS DATE) AS day, count(*) AS rows, count(*) FILTER (WHERE value IS NULL) AS nulls,
            min(value) AS min_value, max(value) AS max_value, round(sum(value), 6) AS sum_value,

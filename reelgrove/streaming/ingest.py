@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import datetime
-import zoneinfo
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,8 +18,8 @@ from reelgrove.operators.quality import (
     expect_or_drop,
     expect_warn,
 )
-from reelgrove.session import RUNTIME_SETTINGS
-from reelgrove.streaming.schemas import grown, load_schema, load_text, save_schema, save_text
+from reelgrove.session import RUNTIME_SETTINGS, stored
+from reelgrove.streaming.schemas import grown, load_schema, path_exists, save_schema
 
 
 def drain(
@@ -39,28 +38,39 @@ def drain(
     return query
 
 
-# Clocks of the driver and of the store may differ by this much.
-CLOCK_SLACK_SECONDS = 3_600
+def landed_schema(spark: SparkSession, *paths: str) -> T.StructType:
+    """All columns of the files in a folder, or of some files."""
+    return spark.read.option("mergeSchema", True).parquet(*paths).schema
 
 
-def landed_schema(
-    spark: SparkSession, folder: str, since: datetime.datetime | None = None
-) -> T.StructType | None:
-    """All columns of the landed files, or of those that came after ``since``.
+def new_files(spark: SparkSession, landing: str, known: str, pattern: str | None = None) -> DataFrame:
+    """Names of landed files that the table at ``known`` does not list, whatever their time."""
+    reader = spark.read.format("binaryFile")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    listed = reader.load(landing).select("path")
+    if path_exists(spark, known):
+        listed = listed.join(spark.read.schema("path string").parquet(known), "path", "left_anti")
+    return listed
 
-    With ``since`` only the footers of newer files are read; None if there are none.
-    """
-    reader = spark.read.option("mergeSchema", True)
-    if since is None:
-        return reader.parquet(folder).schema
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    after = since.astimezone(zoneinfo.ZoneInfo(zone)).strftime("%Y-%m-%dT%H:%M:%S")
-    try:
-        return reader.option("modifiedAfter", after).parquet(folder).schema
-    except AnalysisException as nothing_new:
-        if nothing_new.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return None
+
+# Files opened at once for their columns.
+FILES_AT_ONCE = 10_000
+
+
+def _grown_schema(spark: SparkSession, landing: str, checkpoint: str, pattern: str | None) -> T.StructType:
+    """The stream's columns, with those of files that were never opened for them."""
+    registry, known = f"{checkpoint}.schema.json", f"{checkpoint}.files"
+    schema = load_schema(spark, registry)
+    fresh = stored(new_files(spark, landing, known, pattern), "new_files")
+    names = [r.path for r in fresh.collect()]
+    for start in range(0, len(names), FILES_AT_ONCE):
+        schema = grown(schema, landed_schema(spark, *names[start : start + FILES_AT_ONCE]))
+    if schema is None:
+        schema = grown(None, landed_schema(spark, landing))
+    save_schema(spark, registry, schema)
+    fresh.coalesce(1).write.mode("append").parquet(known)  # after the columns are safe
+    return schema
 
 
 def ingest_files(
@@ -74,24 +84,14 @@ def ingest_files(
 ) -> StreamingQuery:
     """Add each new landed file to the bronze table exactly once.
 
-    The column list is kept in a schema file beside the checkpoint, with the time up to
-    which files were looked at: only newer ones are opened for their columns. With ``evolve`` a
-    column that appears in later files is added to it; earlier rows hold NULL there.
+    The column list is kept in a schema file beside the checkpoint, with the names of the
+    files whose columns it has: only others are opened, also one that arrives with an older time
+    (up to Spark's ``maxFileAge`` of seven days; the stream itself passes over older ones).
+    With ``evolve`` a column that appears in later files is added; earlier rows hold NULL there.
     """
-    registry = f"{checkpoint}.schema.json"
-    known = load_schema(spark, registry)
-    if known is None or evolve:
-        looked = datetime.datetime.now(datetime.timezone.utc)
-        last = load_text(spark, f"{checkpoint}.looked") if known is not None else None
-        since = datetime.datetime.fromisoformat(last) if last else None
-        found = landed_schema(spark, landing, since)
-        schema = known if found is None else grown(known, found)
-        if schema != known:
-            save_schema(spark, registry, schema)
-        before = looked - datetime.timedelta(seconds=CLOCK_SLACK_SECONDS)
-        save_text(spark, f"{checkpoint}.looked", before.isoformat())
-    else:
-        schema = known
+    schema = load_schema(spark, f"{checkpoint}.schema.json")
+    if schema is None or evolve:
+        schema = _grown_schema(spark, landing, checkpoint, pattern)
     reader = spark.readStream.schema(schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -157,6 +157,7 @@ def stream_silver(
     salts: int = 1,
     state_partitions: int | None = None,
     files_per_batch: int | None = None,
+    schema: T.StructType | None = None,
 ) -> dict[str, int]:
     """Bronze to silver: first row per key, failure counts, dropping rules.
 
@@ -166,7 +167,7 @@ def stream_silver(
     per key and salt, so that one key with very many copies is not read by a single task;
     that keeps more state. The first run fixes the number of state partitions:
     ``state_partitions``, or the session's shuffle partitions. ``files_per_batch`` bounds a
-    micro-batch. Returns the failures per rule over all micro-batches of the run.
+    micro-batch. ``schema`` spares a look at all bronze files for their columns. Returns the failures per rule over all micro-batches of the run.
     """
     # A session of its own: other streams keep their settings, and the progress of every
     # micro-batch is kept, from which failures are summed.
@@ -176,7 +177,7 @@ def stream_silver(
     own.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(KEPT_PROGRESS))
     if state_partitions:
         own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    reader = own.readStream.schema(landed_schema(spark, bronze))
+    reader = own.readStream.schema(schema or landed_schema(spark, bronze))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = reader.parquet(bronze)
@@ -200,22 +201,58 @@ def run_medallion(
     checkpoints: str,
     state_partitions: int | None = None,
 ) -> dict:
-    """Landed users, items and interactions to silver; one triggered run of all six streams."""
-    report = {}
-    for table, (key, rules) in SILVER.items():
-        ingest_files(
-            spark, f"{landing}/{table}", f"{lake}/bronze_{table}", f"{checkpoints}/bronze_{table}"
-        )
-        report[table] = stream_silver(
+    """Landed users, items and interactions to silver; one triggered run of all six streams.
+
+    The three tables run side by side, each bronze stream before its silver one.
+    """
+    def run(table: str) -> dict[str, int]:
+        key, rules = SILVER[table]
+        bronze, checkpoint = f"{lake}/bronze_{table}", f"{checkpoints}/bronze_{table}"
+        ingest_files(spark, f"{landing}/{table}", bronze, checkpoint)
+        return stream_silver(
             spark,
-            f"{lake}/bronze_{table}",
+            bronze,
             f"{lake}/silver_{table}",
             f"{checkpoints}/silver_{table}",
             rules,
             key,
             state_partitions=state_partitions,
+            schema=load_schema(spark, f"{checkpoint}.schema.json"),
         )
-    return report
+
+    with ThreadPoolExecutor(len(SILVER)) as pool:
+        return dict(zip(SILVER, pool.map(inheritable_thread_target(spark)(run), SILVER)))
+
+
+# Sketch sizes: 2^12 registers and rows of 400 keep distinct counts within about 5 % and ranks
+# within about 1 % of the rows, with high probability.
+HLL_LOG_SIZE, DISTINCT_ERROR = 12, 0.05
+KLL_SIZE, RANK_ERROR = 400, 0.01
+
+
+def daily_sketch_stream(rows: DataFrame, ts: str, value: str, delay: str = "1 hour") -> DataFrame:
+    """Distinct values and quartiles of a column per day, from mergeable sketches as state.
+
+    A day's state has a fixed size, however many rows it has; late rows are dropped. Errors are
+    ``DISTINCT_ERROR`` of the count and ``RANK_ERROR`` of the ranks.
+    """
+    x = F.col(value).cast("double")
+    sketched = (
+        rows.withColumn(ts, F.col(ts).cast("timestamp"))
+        .withWatermark(ts, delay)
+        .groupBy(F.window(ts, "1 day").alias("w"))
+        .agg(
+            F.count("*").alias("rows"),
+            F.hll_sketch_agg(F.hash(x), F.lit(HLL_LOG_SIZE)).alias("distinct"),
+            F.kll_sketch_agg_double(x, F.lit(KLL_SIZE)).alias("ranks"),
+        )
+    )
+    quartiles = [
+        F.kll_sketch_get_quantile_double("ranks", F.lit(p)).alias(f"p{round(100 * p)}") for p in (0.25, 0.5, 0.75)
+    ]
+    return sketched.select(
+        F.to_date("w.start").alias("day"), "rows", F.hll_sketch_estimate("distinct").alias("distinct_values"), *quartiles
+    )
 
 
 def daily_profile_stream(

@@ -35,6 +35,26 @@ def stream_upsert(df: DataFrame, table: KeyedTable, order: Sequence, checkpoint:
     _drain_batches(df, apply, checkpoint)
 
 
+def stream_least(
+    df: DataFrame, table: KeyedTable, checkpoint: str, order: Sequence | None = None
+) -> None:
+    """Keep the first row of each key in ``order`` over all micro-batches, as a batch job does.
+
+    Without ``order`` the least by all other columns counts (``dedupe_by_key``). Each batch's
+    least rows meet those held for its keys, so the table ends up the same however rows are
+    dealt to files and batches, where copies differ as well.
+    """
+
+    def apply(batch: DataFrame, _: int) -> None:
+        least = dedupe_by_key(batch, table.keys, order)
+        if not table.exists():
+            table.replace(least)
+            return
+        table.rewrite(least, lambda held: dedupe_by_key(held.unionByName(least), table.keys, order))
+
+    _drain_batches(df, apply, checkpoint)
+
+
 def stream_scd2(
     df: DataFrame,
     table: KeyedTable,

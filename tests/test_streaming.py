@@ -1,9 +1,11 @@
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from reelgrove.operators.dedupe import dedupe_by_key
 from reelgrove.operators.quality import ITEM_RULES, USER_RULES
 from reelgrove.session import shared_dir
 from reelgrove.sources import sample_views as v
@@ -150,11 +152,57 @@ def test_request_log_is_laid_out_by_day(spark, small):
 
 def test_only_new_files_are_opened_for_their_columns(spark, tmp_path, monkeypatch):
     landing, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
-    monkeypatch.setattr(ingest, "CLOCK_SLACK_SECONDS", -1)  # files of this very second count as old
+    opened = []
+    real = ingest.landed_schema
+    monkeypatch.setattr(ingest, "landed_schema", lambda s, *paths: opened.append(paths) or real(s, *paths))
     land(spark.range(3), landing, 1)
     ingest.ingest_files(spark, landing, target, checkpoint)
+    ingest.ingest_files(spark, landing, target, checkpoint)
     land(spark.range(3).selectExpr("id", "id AS more"), landing, 1)
-    old = ingest.datetime.datetime.now(ingest.datetime.timezone.utc) + ingest.datetime.timedelta(hours=1)
-    assert ingest.landed_schema(spark, landing, old) is None
-    monkeypatch.setattr(ingest, "CLOCK_SLACK_SECONDS", 3_600)
-    assert ingest.landed_schema(spark, landing, old - ingest.datetime.timedelta(hours=3)).names == ["id", "more"]
+    ingest.ingest_files(spark, landing, target, checkpoint)
+    assert [len(p) for p in opened] == [1, 1] and opened[0] != opened[1]
+
+
+def test_a_file_that_keeps_an_old_time_brings_its_columns(spark, tmp_path):
+    landing, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    land(spark.range(3), landing, 1)
+    ingest.ingest_files(spark, landing, target, checkpoint)
+    land(spark.range(3, 6).selectExpr("id", "id AS more"), landing, 1)
+    for name in os.listdir(landing):
+        earlier = os.stat(f"{landing}/{name}").st_mtime - 7_200
+        os.utime(f"{landing}/{name}", (earlier, earlier))
+    ingest.ingest_files(spark, landing, target, checkpoint)
+    assert sorted(r.more for r in ingest.read_evolved(spark, target).where("more IS NOT NULL").collect()) == [3, 4, 5]
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 1, 0], [1, 2, 0]])
+def test_the_least_row_of_a_key_stays_however_files_come(spark, tmp_path, order):
+    schema = "k bigint, a string, b double"
+    parts = [
+        [(1, "b", 1.0), (2, None, 2.0), (None, "z", 1.0)],
+        [(1, "a", 9.0), (2, "x", None), (3, "n", float("nan"))],
+        [(1, "a", 2.0), (None, "y", None), (3, "n", 5.0), (4, None, None)],
+    ]
+    table = KeyedTable(spark, str(tmp_path / "t"), "k", buckets=3)
+    for i in order:
+        land(spark.createDataFrame(parts[i], schema), str(tmp_path / "in"), 2)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        sinks.stream_least(stream, table, str(tmp_path / "cp"))
+    wanted = dedupe_by_key(spark.createDataFrame([r for p in parts for r in p], schema), "k")
+    got = table.read()
+    assert got.exceptAll(wanted).count() == 0 and wanted.exceptAll(got).count() == 0
+
+
+def test_sketches_are_near_the_exact_values(spark, tmp_path):
+    rows = spark.range(200_000).selectExpr(
+        "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, id % 3) AS ts", "double(pmod(hash(id), 7919)) AS value"
+    )
+    land(rows, str(tmp_path / "in"), 3)
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    ingest.drain(ingest.daily_sketch_stream(stream, "ts", "value"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert len(got) >= 1
+    for r in got:
+        assert abs(r.distinct_values - 7919) <= ingest.DISTINCT_ERROR * 7919
+        for q, p in ((r.p25, 0.25), (r.p50, 0.5), (r.p75, 0.75)):
+            assert abs(q / 7919 - p) < 2 * ingest.RANK_ERROR
