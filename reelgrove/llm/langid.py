@@ -65,6 +65,7 @@ class WordFeatures:
     starts: np.ndarray
     letters: np.ndarray
     script: np.ndarray
+    script_of_letter: np.ndarray
 
 
 def features(words: list[str]) -> WordFeatures:
@@ -82,7 +83,7 @@ def features(words: list[str]) -> WordFeatures:
     letters = np.diff(starts)
     first = np.zeros(len(words), np.int64)
     first[letters > 0] = script[starts[:-1][letters > 0]]
-    return WordFeatures((code % np.uint64(BUCKETS)).astype(np.int64), starts, letters, first)
+    return WordFeatures((code % np.uint64(BUCKETS)).astype(np.int64), starts, letters, first, script)
 
 
 def _texts(array: pa.Array) -> pa.Array:
@@ -202,12 +203,15 @@ SPANS = T.ArrayType(
 _SPAN = pa.list_(pa.struct([("first_word", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
 
 
-def labelled_batch(model: Model, texts: pa.Array, penalty: float) -> tuple[pa.Array, pa.Array, pa.Array]:
-    """Language, its share of the letters, and the spans of each text."""
+def labelled_batch(
+    model: Model, texts: pa.Array, penalty: float
+) -> tuple[pa.Array, pa.Array, pa.Array, pa.Array]:
+    """Language, its share of the letters, the spans, and the share of foreign letters of each text."""
     coded, offsets = words_of(_texts(texts))
     count, languages = len(texts), model.languages
     owner = np.repeat(np.arange(count), np.diff(offsets))
     share = np.zeros((count, len(languages)))
+    foreign = np.zeros(count)
     if len(coded):
         f = features(coded.dictionary.to_pylist())
         words = coded.indices.to_numpy()
@@ -215,6 +219,10 @@ def labelled_batch(model: Model, texts: pa.Array, penalty: float) -> tuple[pa.Ar
         share = np.bincount(
             owner * len(languages) + labels, f.letters[words], count * len(languages)
         ).reshape(share.shape)
+        # Letters of scripts that no language is written in.
+        strange = ~model.allowed.any(axis=1)[f.script_of_letter]
+        per_word = np.bincount(np.repeat(np.arange(len(f.letters)), f.letters), strange, len(f.letters))
+        foreign = np.bincount(owner, per_word[words], count)
     total = share.sum(axis=1)
     best = share.argmax(axis=1)
     known = total > 0
@@ -238,18 +246,19 @@ def labelled_batch(model: Model, texts: pa.Array, penalty: float) -> tuple[pa.Ar
         lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), spans).cast(_SPAN)
     else:
         lists = pa.array([[]] * count, _SPAN)
-    return pa.array(predicted, pa.string()), pa.array(score), lists
+    return pa.array(predicted, pa.string()), pa.array(score), lists, pa.array(foreign / np.maximum(total, 1))
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
-    """Add ``lang_pred``, ``lang_score`` and ``lang_spans`` to every row.
+    """Add ``lang_pred``, ``lang_score``, ``lang_spans`` and ``lang_foreign`` to every row.
 
     ``lang_score`` is the share of the text's letters in spans of ``lang_pred``; a tie goes
     to the first language by name. Spans give the first word, the number of words and the
     language. A text that is NULL, has no letter, or meets an empty model is ``und`` with
-    score 0 and no spans. A script that no language uses does not narrow them. All other
-    columns and rows are kept; columns of these three names are replaced. Row by row,
-    nothing is shuffled.
+    score 0 and no spans. A script that no language uses does not narrow them;
+    ``lang_foreign`` is the share of the text's letters in such scripts, 0 without letters or
+    with an empty model. All other columns and rows are kept; columns of these four names are
+    replaced. Row by row, nothing is shuffled.
     """
     if model is None:
         model = Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
@@ -264,8 +273,9 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", penal
                         pa.array([UNKNOWN] * len(cut)),
                         pa.array(np.zeros(len(cut))),
                         pa.array([[]] * len(cut), _SPAN),
+                        pa.array(np.zeros(len(cut))),
                     )
-                for name, column in zip(("lang_pred", "lang_score", "lang_spans"), found):
+                for name, column in zip(("lang_pred", "lang_score", "lang_spans", "lang_foreign"), found):
                     cut = cut.append_column(name, column)
                 yield cut
 
@@ -276,5 +286,6 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", penal
             T.StructField("lang_pred", T.StringType()),
             T.StructField("lang_score", T.DoubleType()),
             T.StructField("lang_spans", SPANS),
+            T.StructField("lang_foreign", T.DoubleType()),
         ],
     )

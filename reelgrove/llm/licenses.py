@@ -165,7 +165,7 @@ def softmax(x: np.ndarray) -> np.ndarray:
 def notice_examples(prose: list[str], seed: int = 5) -> list[tuple[str, str]]:
     """Variants of every family's notices: cropped, with words lost, inside ordinary prose."""
     rng = random.Random(seed)
-    filler = " ".join(prose[:200]).split() or ["text"]
+    filler = " ".join(prose).split() or ["text"]
     out = []
     for family in sorted({t[0] for t in TEMPLATES}):
         texts = [t[2] for t in TEMPLATES if t[0] == family]
@@ -183,7 +183,7 @@ def notice_examples(prose: list[str], seed: int = 5) -> list[tuple[str, str]]:
             if rng.random() < 0.5:
                 at = rng.randrange(len(filler))
                 words = words + filler[at : at + rng.randint(1, 24)]
-            out.append((" ".join(words)[: 1 << 12], family))
+            out.append((" ".join(words), family))
     return out
 
 
@@ -338,22 +338,23 @@ def notices(model: Model, texts: pa.Array) -> list[list[dict]]:
 
 
 def prose_sample(docs: DataFrame, bound: int = SAMPLE_DOCS, text_col: str = "text") -> list[str]:
-    """Windows of ordinary paragraphs, at most about two from each of ``bound`` documents.
+    """Whole lines of ordinary text, at most two from each of about ``bound`` documents.
 
-    Documents are chosen by a hash of their text; paragraphs with licence-like words are
-    left out, which is the only label that ordinary text has.
+    Documents and lines are chosen, and the lines ordered, by hashes; lines with licence-like
+    words are left out, which is the only label that ordinary text has.
     """
     texts = docs.where(F.col(f"`{text_col}`").isNotNull()).select(F.col(f"`{text_col}`").alias("text"))
     every = max(1, texts.count() // bound)
     lines = F.filter(F.split("text", "\n"), lambda x: ~x.rlike(CUES) & (F.length(x) > 0))
+    hashed = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("hash"), x.alias("line")))
     rows = (
         texts.where(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(every)) == 0)
-        .select(F.explode(F.slice(F.array_sort(lines), 1, 2)).alias("line"))
-        .select(F.substring("line", 1, 400).alias("line"))
-        .orderBy(F.xxhash64("line"))
+        .select(F.explode(F.slice(F.array_sort(hashed), 1, 2)).alias("chosen"))
+        .select("chosen.line")
+        .orderBy(F.xxhash64("line", F.lit(2)), "line")
         .limit(2 * bound)
     )
-    return sorted(r["line"] for r in rows.collect())
+    return [r["line"] for r in rows.collect()]
 
 
 def scan(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

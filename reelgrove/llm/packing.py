@@ -198,8 +198,8 @@ def pack(
 
     ``targets`` gives token shares of sources; sources it does not name are one queue that
     has the rest of the shares (or comes last). Without it each window has the shares of
-    the whole table. The 1,023 largest sources (more than a mixture names) have queues of
-    their own, smaller ones share one.
+    the whole table. The 1,023 largest sources have queues of their own, smaller ones share
+    one, which has the shares of those among them that are named as well.
 
     One row per piece: the id column, ``start`` (the document's ids before it), ``length``,
     ``doc_tokens`` (with the end id), ``sequence_id``, ``offset`` (in the sequence),
@@ -213,9 +213,11 @@ def pack(
     counts = tokens.select("part", "row", "queue", "n")
 
     largest = counts.groupBy("queue").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "queue")
-    if targets:
-        largest = largest.where(F.col("queue").isin(list(targets)))
-    named = [(r["queue"], i) for i, r in enumerate(largest.limit(MAX_QUEUES - 1).collect())]
+    if targets:  # at most as many as are named
+        present = [r["queue"] for r in largest.where(F.col("queue").isin(list(targets))).collect()]
+    else:
+        present = [r["queue"] for r in largest.limit(MAX_QUEUES - 1).collect()]
+    named = [(queue, i) for i, queue in enumerate(present[: MAX_QUEUES - 1])]
     rest = len(named)
     names = spark.createDataFrame(named, "queue_name string, queue_no int")
     counts = counts.join(
@@ -227,8 +229,8 @@ def pack(
     weights = None
     if targets:
         weights = {i: targets[name] for name, i in named}
-        weights[rest] = max(0.0, 1.0 - sum(targets.values()))
-    plan = stretches(totals, weights, sequence_length * max(WINDOW_SEQUENCES, len(totals)))
+        weights[rest] = max(0.0, 1.0 - sum(targets.values())) + sum(targets[q] for q in present[rest:])
+    plan = stretches(totals, weights, sequence_length * WINDOW_SEQUENCES)
 
     # Place of each document in its queue: parts follow each other, rows inside a part too.
     by_part = Window.partitionBy("queue_no").orderBy("part")
@@ -274,7 +276,7 @@ def pack(
     )
     width = 2 if byte_encoder(tokenizer_path).max_token_value < 1 << 16 > end_id else 4
     cut = (
-        tokens.join(pieces.hint("shuffle_hash"), ["part", "row"])
+        tokens.join(pieces.hint("merge"), ["part", "row"])
         .select("id", F.col("n").alias("doc_tokens"), "ids", F.explode("pieces").alias("piece"))
         .select("id", "piece.*", "doc_tokens", "ids")
         .withColumn("ids", F.expr(f"substring(ids, int(start * {width} + 1), int(length * {width}))"))

@@ -9,6 +9,7 @@ pseudonyms in all documents, whatever their separators, and different ones never
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import re
@@ -17,13 +18,17 @@ from collections.abc import Callable, Iterator
 from math import isqrt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from reelgrove.llm.common import appended, slices
 
 ROUNDS = 8
 _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2099, 12, 31).toordinal() - _FIRST_DAY + 1
+_EARLY_DAYS, _LATE_DAYS = (
+    [n for n in range(_FIRST_DAY, _FIRST_DAY + _DAYS) if (datetime.date.fromordinal(n).day > 12) == late]
+    for late in (False, True)
+)
 _ALPHABETS = (string.digits, string.ascii_lowercase, string.ascii_uppercase)
 # Calling codes of one and two digits; all others have three.
 _SHORT_CODES = {"1", "7", "20", "27", "36", "39", "98", *map(str, range(30, 35)), *map(str, range(40, 42))} | {
@@ -59,6 +64,22 @@ _ISSUED = re.compile(
 _CARD_GROUPS = re.compile(r"\d{13,19}|\d{4}([ -])(?:\d{4}\1){2,3}\d{1,4}|\d{4}([ -])\d{6}\2\d{4,5}")
 
 
+KEY_SETTING = "spark.reelgrove.pii.key"
+
+
+def key_of(spark: SparkSession) -> bytes:
+    """The secret in the session's settings. Only a local master may go without one.
+
+    Pseudonyms of different keys cannot be linked; whoever has the key can undo them.
+    """
+    key = spark.conf.get(KEY_SETTING, None)
+    if key:
+        return key.encode()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {KEY_SETTING} to a secret")
+    return b"for local trials only"
+
+
 class Feistel:
     """A keyed permutation of ``range(size)`` for any size."""
 
@@ -211,10 +232,14 @@ def date(f: Feistel, found: str) -> str | None:
             day = datetime.date(*(int(parts[k]) for k in "ymd"))
         except ValueError:
             continue
-        number = day.toordinal() - _FIRST_DAY
-        if not 0 <= number < _DAYS:
+        if not 0 <= day.toordinal() - _FIRST_DAY < _DAYS:
             return None
-        day = datetime.date.fromordinal(_FIRST_DAY + f.permute("date", number, _DAYS))
+        # Days up to 12 and later ones are permuted apart: which of the first two numbers
+        # is the day stays as plain as it was, and different dates never meet.
+        late = day.day > 12
+        own = _LATE_DAYS if late else _EARLY_DAYS
+        number = bisect.bisect_left(own, day.toordinal())
+        day = datetime.date.fromordinal(own[f.permute(f"date{late}", number, len(own))])
         new = {"y": f"{day.year:04d}", "m": str(day.month), "d": str(day.day)}
         return mark.join(new[k].zfill(len(parts[k])) for k in order)
     return None

@@ -128,8 +128,6 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 HELD_OUT = "pmod(crc32(cast(cast(doc_id as string) as binary)), 5) = 0"
-# A deployment takes its own secret; pseudonyms of different keys cannot be linked.
-PII_KEY = b"replace this key"
 
 
 @query
@@ -155,7 +153,7 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs, PII_KEY).select(
+    return pii.pseudonymise(docs, pii.key_of(spark)).select(
         "doc_id",
         "text",
         F.size("pii_spans").alias("n_pii"),

@@ -49,3 +49,26 @@ def test_documents_without_language_go(spark, small, odd_docs):
 @pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES])
 def test_stages_on_nothing(spark, small, no_docs, stage):
     assert stage(spark, no_docs, small).count() == 0
+
+
+def test_documents_in_other_scripts_go_and_mixed_ones_stay(spark, small):
+    schema = spark.read.parquet(f"{small}/documents.parquet").schema
+    texts = ["the cat and the dog " * 5, "le chat et le chien " * 5, "这是一个完全不同的文字系统里的文本", "the cat 这是 and the dog", "это другой текст"]
+    docs = spark.createDataFrame([(i, t, ["en", "fr"][i] if i < 2 else None, None, None) for i, t in enumerate(texts)], schema)
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.language(spark, docs, small).collect()}
+    assert set(kept) == {0, 1, 3} and kept[3] == "en"
+
+
+def test_without_labels_documents_with_letters_stay(spark, small):
+    schema = spark.read.parquet(f"{small}/documents.parquet").schema
+    docs = spark.createDataFrame([(1, "some text", None, None, None), (2, "123 ...", None, None, None), (3, None, None, None, None), (4, "текст", None, None, None)], schema)
+    out = corpus_pipeline.language(spark, docs, small)
+    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [1, 4]
+
+
+def test_private_data_is_masked_in_the_stage(spark, small):
+    schema = spark.read.parquet(f"{small}/documents.parquet").schema
+    docs = spark.createDataFrame([(1, "write to jane.doe@mail.com on 19/01/2000", "en", "s", 3), (2, "nothing here", "en", "s", 12), (3, None, None, None, None)], schema)
+    rows = {r.doc_id: r for r in corpus_pipeline.private_data(spark, docs, small).collect()}
+    assert "jane" not in rows[1].text and "19/01/2000" not in rows[1].text and rows[1].n_chars == len(rows[1].text)
+    assert rows[2].text == "nothing here" and rows[3].text is None

@@ -85,6 +85,33 @@ def test_targets(spark):
     assert {p.doc_id for p in pieces} == set(names)
 
 
+def test_named_sources_without_a_queue_keep_their_shares(spark, monkeypatch):
+    monkeypatch.setattr(packing, "MAX_QUEUES", 4)
+    rows = [(i, "some words of text here " * 8, f"s{i % 6}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    targets = {"s0": 0.3, **{f"s{i}": 0.1 for i in range(1, 6)}, "absent": 0.2}
+    pieces = packing.pack(docs, PATH, sequence_length=16, targets=targets).collect()
+    check_pieces(pieces, 16)
+    source = {r[0]: r[2] for r in rows}
+    first = [p for p in pieces if p.window == 0]
+    total = sum(p.length for p in first)
+    share = {s: sum(p.length for p in first if source[p.doc_id] == s) / total for s in targets}
+    # Three sources have queues; the other three meet in one, with their 0.3 of 0.8.
+    assert abs(share["s0"] - 0.3 / 0.8) < 0.02
+    own = sorted(share[f"s{i}"] for i in range(1, 6))
+    assert abs(sum(own) - 0.5 / 0.8) < 0.02
+    assert sum(p.length for p in pieces) == sum(len(ids_of(r[1])) for r in rows)
+
+
+def test_more_queues_than_sequences_in_a_window(spark):
+    rows = [(i, "text of a source " * 20, f"s{i % 90}") for i in range(450)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    pieces = packing.pack(docs, PATH, sequence_length=16).collect()
+    check_pieces(pieces, 16)
+    tokens = sum(len(ids_of(r[1])) for r in rows)
+    assert max(p.window for p in pieces) + 1 == -(-tokens // (16 * packing.WINDOW_SEQUENCES))
+
+
 def test_stretches_use_all_tokens():
     plan = packing.stretches({0: 1000, 1: 10, 2: 300}, {0: 0.2, 1: 0.8, 2: 0.0}, 64)
     for q, n in {0: 1000, 1: 10, 2: 300}.items():

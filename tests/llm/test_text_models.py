@@ -1,3 +1,4 @@
+import datetime
 import random
 import re
 import textwrap
@@ -74,6 +75,34 @@ def test_phones_stay_linked_whatever_their_layout():
     assert pii.only_digits(changed("(415) 555-0123")[0]) == pii.only_digits(changed("+14155550123")[0])[1:]
 
 
+def test_different_dates_never_meet():
+    """All days of a range in every layout, against a table of what was written before."""
+    f = pii.Feistel(b"key")
+    first = datetime.date(1996, 1, 1)
+    layouts = ["%Y-%m-%d", "%d/%m/%Y", "%m/%d/%Y", "%d.%m.%Y"]
+    for layout in layouts:
+        seen = {}
+        for other in {layout, layout.replace("%d", "%x").replace("%m", "%d").replace("%x", "%m")}:
+            if other.startswith("%Y") and other != layout:
+                continue
+            for n in range(0, 1500):
+                told = (first + datetime.timedelta(n)).strftime(other)
+                new = pii.date(f, told)
+                assert seen.setdefault(new, told) == told, (told, new)
+    # One date has one pseudonym in all layouts that name it.
+    assert pii.date(f, "2000-01-19").split("-") == pii.date(f, "19.01.2000").split(".")[::-1]
+    assert len(pii._EARLY_DAYS) + len(pii._LATE_DAYS) == pii._DAYS
+
+
+def test_the_key_comes_from_the_session(spark):
+    try:
+        spark.conf.set(pii.KEY_SETTING, "a secret")
+        assert pii.key_of(spark) == b"a secret"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert pii.key_of(spark) != b"a secret"
+
+
 def test_what_follows_a_value_is_no_part_of_it():
     for value, kind, tails in (
         ("4111 1111 1111 1111", "card", (" 12/27", " 123", " 737", " 2027", "-12", " 4111")),
@@ -301,3 +330,11 @@ def test_stored_bounds_save_distances():
     query = points[int((points * points).sum(axis=1).argmax())]
     scores, ids, _ = mtree.search(pages, query, -1, 5, -np.inf, reach)
     assert sorted(-scores) == sorted(np.sort(-(points @ query))[:5]) and computed < 1000
+
+
+def test_ordinary_lines_are_whole_and_chosen_by_hash(spark):
+    long = "plain words here " * 60
+    docs = spark.createDataFrame([(i, f"a{i} first line\n{long}{i}\nz{i} last line") for i in range(40)], "doc_id int, text string")
+    lines = licenses.prose_sample(docs)
+    assert 70 <= len(lines) <= 80 and any(len(t) > 900 for t in lines) and any(t.startswith("z") for t in lines)
+    assert lines == licenses.prose_sample(docs.repartition(5)) and lines != sorted(lines)
