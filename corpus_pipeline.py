@@ -8,18 +8,25 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reelgrove.llm import langid, ngram_join, packing, pii
 from reelgrove.session import shared_dir, ship_package
 
-PII_KEY = b"replace this key"
+# A text goes if more of its letters are in scripts that no learned language is written in.
+MOST_FOREIGN = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents with a language; the model is learnt from their own labels.
+    """Keep documents in a learned language; the model is learnt from their own labels.
 
-    Documents without a language (``und``: no text, no letter) go; one that mixes several
-    stays. ``lang`` becomes the predicted language where it was NULL.
+    Documents without a language (``und``: no text, no letter) go, and those whose letters are
+    mostly in scripts that no learned language uses; one that mixes several languages stays.
+    ``lang`` becomes the predicted language where it was NULL. Where no document has a label
+    nothing is learnt, and all documents with a letter stay as they are.
     """
     ship_package(spark)
     model = langid.learn(docs)
-    found = langid.identify(docs, model).where(F.col("lang_pred") != langid.UNKNOWN)
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = langid.identify(docs, model).where(
+        (F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_foreign") <= MOST_FOREIGN)
+    )
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
 
 
@@ -32,7 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data in all texts; ``n_chars`` follows the new text."""
     ship_package(spark)
-    masked = pii.pseudonymise(docs, PII_KEY).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    masked = pii.pseudonymise(docs, pii.key_of(spark)).withColumn("n_chars", F.char_length("text").cast("bigint"))
     return masked.select(docs.columns)
 
 
