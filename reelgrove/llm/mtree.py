@@ -211,21 +211,27 @@ def top_k(
     ``vector_col`` is an array of whole numbers, ``is_query`` SQL over the id and other
     columns. A query's own row is no candidate. Ties go to the smaller id; a NULL id comes
     last. Vectors that are NULL or hold a NULL take no part; shorter ones are padded with
-    zeros. Repeated rows are rows like others. Returns ``query_id``, ``rank`` from 1,
-    ``vec_id``, ``score``; an empty table gives an empty result. Scores are exact below
-    2^53.
+    zeros, an empty one scores 0. Repeated rows are rows like others. Returns ``query_id``,
+    ``rank`` from 1, ``vec_id``, ``score``; an empty table gives an empty result. Scores are
+    exact below 2^53; components beyond 2^31 over the root of their number count as that, so
+    that no score leaves 64 bits.
     """
     spark = items.sparkSession
     vector = F.col(f"`{vector_col}`")
+    bound = F.floor(F.lit(2.0**31) / F.sqrt(F.greatest(F.size(vector), F.lit(1))))
+
+    def bounded(x):
+        return F.greatest(-bound, F.least(bound, x.cast("double"))).cast("double")
+
     valid = items.where(vector.isNotNull() & ~F.exists(vector, lambda x: x.isNull())).select(
         F.col(f"`{id_col}`").cast("bigint").alias("vec_id"),
         F.coalesce(F.expr(is_query), F.lit(False)).alias("is_query"),
-        F.transform(vector, lambda x: x.cast("double")).alias("v"),
+        F.transform(vector, bounded).alias("v"),
     )
     stored = kept(valid.withColumn("row", F.monotonically_increasing_id()), "vectors")
     length = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     facts = stored.agg(F.max(F.size("v")), F.max(length), F.count("*")).first()
-    dimensions, reach, count = facts[0] or 0, float(facts[1] or 0), facts[2]
+    dimensions, reach, count = max(1, facts[0] or 0), float(facts[1] or 0), facts[2]
 
     # Pivots: a bounded sample in hash order, spread over the whole table.
     cells = max(1, min(MAX_CELLS, -(-count // PART_ROWS)))

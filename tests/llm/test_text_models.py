@@ -306,6 +306,16 @@ def test_top_k_of_odd_rows(spark):
     assert mtree.top_k(spark.createDataFrame([], "vec_id bigint, vector array<bigint>"), "true").count() == 0
 
 
+def test_top_k_of_empty_and_enormous_vectors(spark):
+    check_search(spark, [(0, []), (20, []), (1, [])], k=2)
+    ragged = spark.createDataFrame([(0, []), (20, [3, 4]), (1, [1, 1])], "vec_id bigint, vector array<bigint>")
+    rows = mtree.top_k(ragged, "vec_id % 20 = 0", k=2).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in rows) == [(0, 1, 1, 0), (0, 2, 20, 0), (20, 1, 1, 7), (20, 2, 0, 0)]
+    far = [(0, [2**62, -(2**62)]), (20, [2**62, 2**62]), (1, [-(2**62), 1])]
+    rows = mtree.top_k(spark.createDataFrame(far, "vec_id bigint, vector array<bigint>"), "vec_id % 20 = 0", k=3).collect()
+    assert len(rows) == 4 and all(abs(r.score) <= 2**62 for r in rows)
+
+
 def test_stored_bounds_save_distances():
     """Clustered points: a search computes far fewer distances than there are points."""
     rng = np.random.default_rng(1)
