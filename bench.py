@@ -43,6 +43,12 @@ HEADLINE = [
     "knn_approx",
     "stream_upsert",
     "scd2_stream",
+    "index_sync",
+    "knn_quantised",
+    "mmr_rerank",
+    "champion_decision",
+    "stream_dedupe_ordered",
+    "profile_daily_sketch",
     "ranker_search",
     "ranker_fit",
     "score_candidates",
