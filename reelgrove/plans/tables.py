@@ -10,7 +10,7 @@ from reelgrove.operators.index_sync import VectorIndex
 from reelgrove.operators.upsert import change_feed, scd2_from_cdc, upsert_by_key
 from reelgrove.plans.registry import query
 from reelgrove.session import shared_dir
-from reelgrove.sources import sample_views as v, tables
+from reelgrove.sources import curve, sample_views as v, tables
 from reelgrove.sources.tables import read_table
 
 
@@ -42,6 +42,24 @@ def clustered_layout(spark, folder):
     return tables.write_parquet(laid, shared_dir(spark, "clustered"))
 
 
+@query("curve_layout", """
+    SELECT * EXCLUDE (key), key FROM (
+        SELECT *, 'content_id' AS key FROM silver_interactions
+        WHERE content_id = (SELECT min(content_id) FROM silver_interactions)
+        UNION ALL SELECT *, 'user_id' FROM silver_interactions
+        WHERE user_id = (SELECT min(user_id) FROM silver_interactions))""")
+def curve_layout(spark, folder):
+    """All interactions laid along a curve; the rows of the least item and of the least user."""
+    laid = curve.curve_layout(v.silver_interactions(spark, folder), ["user_id", "content_id"])
+    written = tables.write_parquet(laid, shared_dir(spark, "curve"))
+    least = written.agg(F.min("content_id"), F.min("user_id")).first()
+    found = [
+        written.where(F.col(key) == F.lit(value)).withColumn("key", F.lit(key))
+        for key, value in zip(("content_id", "user_id"), least)
+    ]
+    return found[0].unionByName(found[1])
+
+
 @query("table_listing", """
     SELECT 'bronze_interactions' AS table_name, count(*) AS rows FROM interactions
     UNION ALL SELECT 'bronze_items', count(*) FROM items
