@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from reelgrove.functions.expressions import (
     completed_flag,
@@ -18,6 +18,7 @@ from reelgrove.operators.joins import lookup_join
 from reelgrove.operators.lists import top_k_per_user
 from reelgrove.operators.recommend import candidate_lists
 from reelgrove.plans.registry import query
+from reelgrove.session import shared_dir
 from reelgrove.sources import sample_views as v
 from reelgrove.sources.tables import read_table
 
@@ -169,7 +170,19 @@ def expect_warn(spark, folder):
     return quality.expect_warn(v.users(spark, folder), quality.USER_RULES, "users_quality")
 
 
-@query("expectation_report", """
+@query("expect_warn_counts", """
+    SELECT count(*) AS rows, count(*) FILTER (WHERE user_id IS NULL) AS user_id_not_null,
+           count(*) FILTER (WHERE NOT coalesce(age BETWEEN 5 AND 120, false)) AS valid_age FROM users""")
+def expect_warn_counts(spark, folder):
+    """What the warnings counted while all users were written."""
+    seen = Observation()
+    checked = quality.expect_warn(v.users(spark, folder), quality.USER_RULES, seen)
+    checked.write.parquet(shared_dir(spark, "checked"))
+    names = ["rows", *[r.name for r in quality.USER_RULES]]
+    return spark.createDataFrame([tuple(seen.get[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
+EXPECTATION_REPORT = """
     WITH counted AS (
         SELECT 'users' AS table_name, 'user_id_not_null' AS rule, 'drop' AS action, count(*) AS rows,
                count(*) FILTER (WHERE user_id IS NULL) AS failed FROM users
@@ -183,7 +196,10 @@ def expect_warn(spark, folder):
                count(*) FILTER (WHERE user_id IS NULL OR content_id IS NULL) FROM interactions
         UNION ALL SELECT 'interactions', 'watch_seconds_non_negative', 'warn', count(*),
                count(*) FILTER (WHERE NOT coalesce(watch_seconds >= 0, false)) FROM interactions)
-    SELECT *, (rows - failed) / rows AS pass_rate FROM counted""")
+    SELECT *, (rows - failed) / rows AS pass_rate FROM counted"""
+
+
+@query("expectation_report", EXPECTATION_REPORT)
 def expectation_report(spark, folder):
     reports = [
         quality.expectation_report(v.users(spark, folder), "users", quality.USER_RULES),

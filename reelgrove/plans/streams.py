@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from reelgrove.operators.joins import source_bytes
 from reelgrove.operators.quality import USER_RULES, expect_or_drop
+from reelgrove.plans.projections import EXPECTATION_REPORT
 from reelgrove.plans.registry import query
 from reelgrove.session import shared_dir
 from reelgrove.sources import sample_views as v
 from reelgrove.sources.tables import KeyedTable, write_parquet
-from reelgrove.streaming import ingest, sinks
+from reelgrove.streaming import ingest, quality_log, sinks
 
 
 def _events_stream(spark, folder):
@@ -47,14 +48,8 @@ def schema_evolve(spark, folder):
     return ingest.read_evolved(spark, f"{base}/bronze")
 
 
-@query("stream_equals_batch", """
-    SELECT 'users' AS table_name, count(*) AS rows, CAST(sum(user_id) AS BIGINT) AS key_sum,
-           CAST(sum(age) AS BIGINT) AS value_sum FROM silver_users
-    UNION ALL SELECT 'items', count(*), CAST(sum(content_id) AS BIGINT), CAST(sum(duration_min) AS BIGINT) FROM silver_items
-    UNION ALL SELECT 'interactions', count(*), CAST(sum(user_id) AS BIGINT), CAST(sum(watch_seconds) AS BIGINT)
-        FROM silver_interactions""")
-def stream_equals_batch(spark, folder):
-    """Landing to silver for all three tables, two landings, summed up."""
+def _medallion(spark, folder):
+    """Landing to silver for all three tables, two landings; the folder and the sources."""
     base = shared_dir(spark, "medallion")
     sources = {
         "users": (v.users(spark, folder), F.col("segment") < "F", "user_id", "age"),
@@ -73,6 +68,18 @@ def stream_equals_batch(spark, folder):
         ingest.run_medallion(
             spark, f"{base}/landing", f"{base}/lake", f"{base}/checkpoints", partitions
         )
+    return base, sources
+
+
+@query("stream_equals_batch", """
+    SELECT 'users' AS table_name, count(*) AS rows, CAST(sum(user_id) AS BIGINT) AS key_sum,
+           CAST(sum(age) AS BIGINT) AS value_sum FROM silver_users
+    UNION ALL SELECT 'items', count(*), CAST(sum(content_id) AS BIGINT), CAST(sum(duration_min) AS BIGINT) FROM silver_items
+    UNION ALL SELECT 'interactions', count(*), CAST(sum(user_id) AS BIGINT), CAST(sum(watch_seconds) AS BIGINT)
+        FROM silver_interactions""")
+def stream_equals_batch(spark, folder):
+    """Landing to silver for all three tables, two landings, summed up."""
+    base, sources = _medallion(spark, folder)
     sums = [
         spark.read.parquet(f"{base}/lake/silver_{name}").agg(
             F.lit(name).alias("table_name"),
@@ -85,6 +92,13 @@ def stream_equals_batch(spark, folder):
     return sums[0].unionByName(sums[1]).unionByName(sums[2])
 
 
+@query("quality_log", EXPECTATION_REPORT)
+def streamed_quality(spark, folder):
+    """The report of all checked rows, from the metrics that the streams stored per micro-batch."""
+    base, _ = _medallion(spark, folder)
+    return quality_log.logged_report(quality_log.read_quality_log(spark, f"{base}/lake/quality_log"))
+
+
 _LANDED_TWICE = """
     WITH landed AS (
         SELECT * FROM users

@@ -19,6 +19,7 @@ from reelgrove.operators.quality import (
     expect_warn,
 )
 from reelgrove.session import RUNTIME_SETTINGS, stored
+from reelgrove.streaming.quality_log import QualityLog
 from reelgrove.streaming.schemas import grown, load_schema, path_exists, save_schema
 
 
@@ -120,10 +121,6 @@ SILVER = {
 }
 
 
-# More micro-batches than one triggered run has.
-KEPT_PROGRESS = 10_000_000
-
-
 def own_settings(spark: SparkSession) -> dict[str, str]:
     """The settings a new session of the same application takes over."""
     names = [*RUNTIME_SETTINGS, "spark.sql.shuffle.partitions", *ROCKSDB_STATE]
@@ -158,6 +155,7 @@ def stream_silver(
     state_partitions: int | None = None,
     files_per_batch: int | None = None,
     schema: T.StructType | None = None,
+    log: str | None = None,
 ) -> dict[str, int]:
     """Bronze to silver: first row per key, failure counts, dropping rules.
 
@@ -167,14 +165,14 @@ def stream_silver(
     per key and salt, so that one key with very many copies is not read by a single task;
     that keeps more state. The first run fixes the number of state partitions:
     ``state_partitions``, or the session's shuffle partitions. ``files_per_batch`` bounds a
-    micro-batch. ``schema`` spares a look at all bronze files for their columns. Returns the failures per rule over all micro-batches of the run.
+    micro-batch. ``schema`` spares a look at all bronze files for their columns. ``log`` is
+    the folder for the failures of each micro-batch (``QualityLog``), under the table's
+    ``name``. Returns the failures per rule over all micro-batches of the run.
     """
-    # A session of its own: other streams keep their settings, and the progress of every
-    # micro-batch is kept, from which failures are summed.
+    # A session of its own: other streams keep their settings, and a listener hears of this one.
     own = spark.newSession()
     for setting, value in own_settings(spark).items():
         own.conf.set(setting, value)
-    own.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(KEPT_PROGRESS))
     if state_partitions:
         own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     reader = own.readStream.schema(schema or landed_schema(spark, bronze))
@@ -184,14 +182,13 @@ def stream_silver(
     if key:
         rows = _first_per_key(rows, key, watermark, salts)
     checked = expect_or_drop(expect_warn(rows, rules, name), rules)
-    query = drain(checked, target, checkpoint)
-    counts: dict[str, int] = {}
-    for progress in query.recentProgress:
-        metrics = progress["observedMetrics"].get(name)
-        if metrics is not None:
-            for k, v in (metrics if isinstance(metrics, dict) else metrics.asDict()).items():
-                counts[k] = counts.get(k, 0) + v
-    return counts
+    metrics = QualityLog(own, log, name, name, rules)
+    own.streams.addListener(metrics)
+    try:
+        drain(checked, target, checkpoint)
+        return metrics.finished()
+    finally:
+        own.streams.removeListener(metrics)
 
 
 def run_medallion(
@@ -203,7 +200,8 @@ def run_medallion(
 ) -> dict:
     """Landed users, items and interactions to silver; one triggered run of all six streams.
 
-    The three tables run side by side, each bronze stream before its silver one.
+    The three tables run side by side, each bronze stream before its silver one. Their
+    quality metrics are in ``quality_log`` of the lake.
     """
     def run(table: str) -> dict[str, int]:
         key, rules = SILVER[table]
@@ -218,6 +216,8 @@ def run_medallion(
             key,
             state_partitions=state_partitions,
             schema=load_schema(spark, f"{checkpoint}.schema.json"),
+            name=table,
+            log=f"{lake}/quality_log",
         )
 
     with ThreadPoolExecutor(len(SILVER)) as pool:

@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelgrove.operators.dedupe import dedupe_by_key
-from reelgrove.operators.quality import ITEM_RULES, USER_RULES
+from reelgrove.operators.quality import ITEM_RULES, USER_RULES, expectation_report
 from reelgrove.session import shared_dir
 from reelgrove.sources import sample_views as v
 from reelgrove.sources.tables import KeyedTable, write_parquet
-from reelgrove.streaming import ingest, sinks
+from reelgrove.streaming import ingest, quality_log, sinks
 from reelgrove.streaming.schemas import grown, load_schema
 
 
@@ -206,3 +206,54 @@ def test_sketches_are_near_the_exact_values(spark, tmp_path):
         assert abs(r.distinct_values - 7919) <= ingest.DISTINCT_ERROR * 7919
         for q, p in ((r.p25, 0.25), (r.p50, 0.5), (r.p75, 0.75)):
             assert abs(q / 7919 - p) < 2 * ingest.RANK_ERROR
+
+
+def test_quality_is_logged_per_micro_batch(spark):
+    base = shared_dir(spark, "logged")
+    schema, log = "user_id bigint, age int", f"{base}/log"
+    landings = ([[(1, 20), (2, 200)], [(None, 30), (3, 300)]], [[(4, None), (5, 5)]])
+    for files in landings:
+        for rows in files:
+            land(spark.createDataFrame(rows, schema), f"{base}/bronze", 1)
+        counts = ingest.stream_silver(
+            spark, f"{base}/bronze", f"{base}/silver", f"{base}/cp", USER_RULES, "user_id",
+            name="users", files_per_batch=1, log=log,
+        )
+    assert counts == {"rows": 2, "user_id_not_null": 0, "valid_age": 1}  # of the last run
+    stored = quality_log.read_quality_log(spark, log)
+    assert stored.select("query_id").distinct().count() == 1  # a restart goes on with its stream
+    ages = stored.where("rule = 'valid_age'").orderBy("batch_id").collect()
+    assert [r.batch_id for r in ages] == [0, 1, 2] and [r.failed for r in ages] == [1, 1, 1]
+    bronze = spark.read.parquet(f"{base}/bronze")
+    wanted = expectation_report(dedupe_by_key(bronze, "user_id"), "users", USER_RULES)
+    report = quality_log.logged_report(stored)
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_a_repeated_batch_replaces_its_metrics(spark):
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+
+    base = shared_dir(spark, "repeated")
+    log = quality_log.QualityLog(spark, base, "q", "users", USER_RULES)
+
+    def event(batch, failed):
+        seen = {"q": Row(rows=10, user_id_not_null=0, valid_age=failed)}
+        return SimpleNamespace(progress=SimpleNamespace(id="a", batchId=batch, observedMetrics=seen))
+
+    for batch, failed in ((0, 1), (1, 2), (1, 3)):
+        log.onQueryProgress(event(batch, failed))
+    log.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(id="a", batchId=2, observedMetrics={})))
+    report = quality_log.logged_report(quality_log.read_quality_log(spark, base)).where("rule = 'valid_age'")
+    assert [(r.rows, r.failed, r.pass_rate) for r in report.collect()] == [(20, 4, 0.8)]
+
+
+def test_metrics_that_cannot_be_stored_end_the_job(spark, tmp_path):
+    (tmp_path / "taken").write_text("a file")
+    base = shared_dir(spark, "unwritable")
+    land(spark.createDataFrame([(1, 20)], "user_id bigint, age int"), f"{base}/bronze", 1)
+    with pytest.raises(Exception):
+        ingest.stream_silver(
+            spark, f"{base}/bronze", f"{base}/silver", f"{base}/cp", USER_RULES, log=str(tmp_path / "taken")
+        )
