@@ -12,9 +12,12 @@ from __future__ import annotations
 import bisect
 import datetime
 import hashlib
+import ipaddress
 import re
 import string
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from math import isqrt
 
 import pyarrow as pa
@@ -129,20 +132,44 @@ def _digits(f: Feistel, kind: str, digits: str) -> str:
     return str(f.permute(kind, int(digits), 10 ** len(digits))).zfill(len(digits))
 
 
+def _has_pair(c: str) -> bool:
+    """A letter with one other case, of one character, that leads back to it."""
+    other = c.swapcase()
+    return len(other) == 1 and other != c and other.swapcase() == c
+
+
+def _letter_kind(c: str) -> tuple[str, bool] | None:
+    category = unicodedata.category(c)
+    return (category, _has_pair(c)) if category[0] == "L" or category == "Nd" else None
+
+
+@lru_cache(maxsize=4096)
+def _alphabet(c: str) -> str | None:
+    """The characters that may stand for a letter or digit: those of its kind and script.
+
+    Beyond ASCII these are the letters of the same category and case in its row of 128 code
+    points. Other characters (None) stay as they are.
+    """
+    if c.isascii():
+        return next((a for a in _ALPHABETS if c in a), None)
+    kind, first = _letter_kind(c), ord(c) // 128 * 128
+    if kind is None:
+        return None
+    return "".join(d for d in map(chr, range(first, first + 128)) if not d.isascii() and _letter_kind(d) == kind)
+
+
 def _characters(f: Feistel, kind: str, text: str) -> str:
-    """Permute all ASCII letters and digits, each within digits, lower or upper case."""
-    alphabet = {c: a for a in _ALPHABETS for c in a}
+    """Permute all letters and digits, each within its alphabet."""
     number, size = 0, 1
     for c in text:
-        if c in alphabet:
-            a = alphabet[c]
+        if a := _alphabet(c):
             number, size = number * len(a) + a.index(c), size * len(a)
     number = f.permute(f"{kind}:{len(text)}", number, size)
     out = []
     for c in reversed(text):
-        if c in alphabet:
-            number, at = divmod(number, len(alphabet[c]))
-            c = alphabet[c][at]
+        if a := _alphabet(c):
+            number, at = divmod(number, len(a))
+            c = a[at]
         out.append(c)
     return "".join(reversed(out))
 
@@ -168,7 +195,8 @@ def calling_code(digits: str) -> str:
 
 
 def national(found: str) -> tuple[str, str, str]:
-    """Country code, trunk zero as in ``(0)``, and the national digits."""
+    """Country code, trunk zero as in ``(0)``, and the national digits behind ``+`` or ``00``."""
+    found = found.removeprefix("00")
     digits = only_digits(found)
     code = calling_code(digits)
     rest = digits[len(code) :]
@@ -178,13 +206,14 @@ def national(found: str) -> tuple[str, str, str]:
 
 def phone(f: Feistel, found: str) -> str | None:
     """The national digits change, the country code and a trunk zero stay."""
-    digits = only_digits(found)
-    if not found.startswith("+"):
-        return in_layout(found, _digits(f, "phone", digits))
-    if not 8 <= len(digits) <= 15:
+    if not found.startswith(("+", "00")):
+        return in_layout(found, _digits(f, "phone", only_digits(found)))
+    head = "00" if found.startswith("00") else ""
+    layout = found[len(head) :]
+    if not 8 <= len(only_digits(layout)) <= 15:
         return None
     code, trunk, rest = national(found)
-    return in_layout(found, code + trunk + _digits(f, "phone", rest))
+    return head + in_layout(layout, code + trunk + _digits(f, "phone", rest))
 
 
 def ipv4(f: Feistel, found: str) -> str | None:
@@ -195,6 +224,18 @@ def ipv4(f: Feistel, found: str) -> str | None:
     return ".".join(map(str, number.to_bytes(4, "big")))
 
 
+def ipv6(f: Feistel, found: str) -> str | None:
+    """Any spelling of one address has one pseudonym. ``a::b`` may be a name in a program."""
+    if found.count(":") < 3 and not re.match(r"(?=[0-9A-Fa-f]*\d)[0-9A-Fa-f]{4}:", found):
+        return None
+    try:
+        number = int(ipaddress.IPv6Address(found))
+    except ValueError:
+        return None
+    new = str(ipaddress.IPv6Address(f.permute("ipv6", number, 1 << 128)))
+    return new.upper() if re.search("[A-F]", found) else new
+
+
 def social_number(f: Feistel, found: str) -> str | None:
     """Three, two and four digits, none of them all zeros, the first not 666 or from 900."""
     area, group, serial = (int(p) for p in found.split("-"))
@@ -222,6 +263,17 @@ def iban(f: Feistel, found: str) -> str | None:
     return "".join(c if c == " " else next(it) for c in found)
 
 
+def _moved(f: Feistel, day: datetime.date) -> datetime.date | None:
+    """Another day. Days of a month up to 12 and later ones are permuted apart: which of two
+    numbers is the day stays as plain as it was, and different dates never meet."""
+    if not 0 <= day.toordinal() - _FIRST_DAY < _DAYS:
+        return None
+    late = day.day > 12
+    own = _LATE_DAYS if late else _EARLY_DAYS
+    number = bisect.bisect_left(own, day.toordinal())
+    return datetime.date.fromordinal(own[f.permute(f"date{late}", number, len(own))])
+
+
 def date(f: Feistel, found: str) -> str | None:
     """Year first, or day or month first: day first where the calendar allows it."""
     a, mark, b, _, c = re.split(r"([-/.])", found)
@@ -232,24 +284,36 @@ def date(f: Feistel, found: str) -> str | None:
             day = datetime.date(*(int(parts[k]) for k in "ymd"))
         except ValueError:
             continue
-        if not 0 <= day.toordinal() - _FIRST_DAY < _DAYS:
+        day = _moved(f, day)
+        if day is None:
             return None
-        # Days up to 12 and later ones are permuted apart: which of the first two numbers
-        # is the day stays as plain as it was, and different dates never meet.
-        late = day.day > 12
-        own = _LATE_DAYS if late else _EARLY_DAYS
-        number = bisect.bisect_left(own, day.toordinal())
-        day = datetime.date.fromordinal(own[f.permute(f"date{late}", number, len(own))])
         new = {"y": f"{day.year:04d}", "m": str(day.month), "d": str(day.day)}
         return mark.join(new[k].zfill(len(parts[k])) for k in order)
     return None
 
 
+def named_date(f: Feistel, found: str) -> str | None:
+    """A date with an English month; it has the pseudonym of the same date in numbers."""
+    name = re.search("[A-Za-z]+", found)[0]
+    month = next(i for i, m in enumerate(_MONTHS) if m[:3] == name[:3])
+    day, year = re.findall("[0-9]+", found)
+    try:
+        new = _moved(f, datetime.date(int(year), month + 1, int(day)))
+    except ValueError:
+        return None
+    if new is None:
+        return None
+    full = _MONTHS[new.month - 1]
+    words = {name: full if name == _MONTHS[month] else full[:3], day: str(new.day).zfill(len(day)), year: f"{new.year:04d}"}
+    return re.sub("[A-Za-z]+|[0-9]+", lambda m: words[m[0]], found)
+
+
 def email(f: Feistel, found: str) -> str | None:
     """All but the last label, by the lower-case form; capitals stay capitals."""
     name, _, end = found.rpartition(".")
-    new = _characters(f, "email", name.lower())
-    return "".join(n.upper() if o.isupper() else n for o, n in zip(name, new)) + "." + end
+    capital = [c.isupper() and _has_pair(c) for c in name]
+    new = _characters(f, "email", "".join(c.lower() if up else c for c, up in zip(name, capital)))
+    return "".join(n.upper() if up else n for n, up in zip(new, capital)) + "." + end
 
 
 def secret(f: Feistel, found: str) -> str | None:
@@ -263,6 +327,16 @@ def access_key(f: Feistel, found: str) -> str | None:
     return found[:4] + _characters(f, "access", found[4:])
 
 
+def credential(f: Feistel, found: str) -> str | None:
+    """The issuer's mark stays, and the beginnings that all signed tokens have."""
+    if found.startswith("eyJ"):
+        first, second, third = found.split(".")
+        new = _characters(f, "signed", f"{first[3:]}.{second[3:]}.{third}").split(".")
+        return f"eyJ{new[0]}.eyJ{new[1]}.{new[2]}"
+    mark = _MARKS.match(found).end()
+    return found[:mark] + _characters(f, "credential:" + found[:mark], found[mark:])
+
+
 def shorter(found: str) -> list[str]:
     """The text and its beginnings that end at a separator, longest first."""
     ends = [m.end() for m in re.finditer(r"[A-Za-z0-9](?![A-Za-z0-9])", found)]
@@ -272,8 +346,9 @@ def shorter(found: str) -> list[str]:
 def cards(found: str) -> Iterator[str]:
     """An issuer's number before other ones, so that no expiry date or code is part of it.
 
-    Longest first in each group. What has no issuer's form is read whole or in the groups
-    of a card, and only where no issuer's number begins further behind.
+    Longest first in each group. What has no issuer's form is a card only if it is written
+    in groups, and only where no issuer's number begins further behind: one in ten plain
+    numbers of that length has a right check digit by chance.
     """
     every = [t for t in shorter(found) if card_digits(t)]
     issued = [t for t in every if _ISSUED.fullmatch(only_digits(t))]
@@ -281,21 +356,22 @@ def cards(found: str) -> Iterator[str]:
     for start in re.finditer(r"(?<=[ -])\d", found) if every and not issued else ():
         if any(_ISSUED.fullmatch(only_digits(t)) and card_digits(t) for t in shorter(found[start.start() :])):
             return
-    yield from (t for t in every if t == found or _CARD_GROUPS.fullmatch(t))
+    yield from (t for t in every if not t.isdigit() and (t == found or _CARD_GROUPS.fullmatch(t)))
 
 
 def phones(found: str) -> Iterator[str]:
     """The longest reading of a national length of its country, then any."""
-    if not found.startswith("+"):
+    if not found.startswith(("+", "00")):
         yield found
         return
     every = shorter(found)
     for text in every:
         code, _, rest = national(text)
-        least, most = _NATIONAL.get(code, (5, 15))
+        least, most = _NATIONAL.get(code, (5, 15) if text[0] == "+" else (16, 0))
         if least <= len(rest) <= most:
             yield text
-    yield from every
+    if found.startswith("+"):
+        yield from every
 
 
 def ibans(found: str) -> Iterator[str]:
@@ -306,33 +382,60 @@ def ibans(found: str) -> Iterator[str]:
     yield from every
 
 
+# Names of the months, marks that issuers put before their credentials, and
+# words for secrets in settings.
+_MONTHS = (
+    "January", "February", "March", "April", "May", "June",
+    "July", "August", "September", "October", "November", "December",
+)
+_MARKS = re.compile(
+    r"gh[oprsu]_|github_pat_|glpat-|xox[abeoprs]-|[prs]k_(?:live|test)_|AIza|npm_|hf_|sk-(?:ant-|proj-)?"
+)
+_SECRET_WORDS = r"(?i:passw(?:or)?d|passphrase|secret|token|(?:api|access|private|secret)[_-]?key)"
+# A month in full or its first three letters.
+_MONTH = "(?:" + "|".join(m[:3] + (f"(?:{m[3:]})?" if m[3:] else "") for m in _MONTHS) + ")"
+# The word with its sign and quotes; the value behind it changes.
+_SECRET_HEAD = _SECRET_WORDS + r"[\"'`]?\s{0,3}(?:=>|:=|[:=])\s{0,3}[\"'`]?"
+_BEFORE = {"secret": re.compile(_SECRET_HEAD)}
+
 # Tried from left to right at every place of a text; a failed check leaves the text as it is
 # and the search goes on behind its first character.
 KINDS: list[tuple[str, str, Callable[[Feistel, str], str | None]]] = [
-    ("email", r"(?<![\w.+-])[\w+-][\w.+-]*@(?:[\w-]+\.)+[A-Za-z]{2,}(?![\w-])", email),
+    ("email", r"(?<![\w.+-])[\w+-][\w.+-]*@(?:[\w-]+\.)+(?:xn--[A-Za-z0-9-]+|[^\W\d_]{2,})(?![\w-])", email),
     (
         "secret",
-        r"(?i:(?<=password=)|(?<=passwd=)|(?<=secret=)|(?<=token=)|(?<=api_key=)|(?<=apikey=)"
-        r"|(?<=token = [\"'])|(?<=secret = [\"'])|(?<=password = [\"'])|(?<=api_key = [\"'])"
-        r"|(?<=token: )|(?<=password: ))[A-Za-z0-9_\-+/.]{8,}",
+        _SECRET_HEAD + r"(?:(?<=[\"'`])(?![$<{%])[^\s\"'`]{6,}(?=[\"'`])"
+        r"|(?<=[=\"'`])[A-Za-z0-9_\-+/.]{8,}|(?<=[:= >])(?=[^\s]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9_\-+/.]{8,})",
         secret,
     ),
+    (
+        "credential",
+        r"(?<![\w-])(?:" + _MARKS.pattern + r")[A-Za-z0-9_-]{16,}(?![\w-])"
+        r"|(?<![\w-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}(?![\w-])",
+        credential,
+    ),
     ("access_key", r"(?<![A-Za-z0-9])A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])", access_key),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", iban),
     ("ipv4", r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)", ipv4),
+    ("ipv6", r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}(?![\w:]|\.\d)", ipv6),
+    (
+        "named_date",
+        rf"(?<!\w)(?:{_MONTH}\.? \d{{1,2}},? \d{{4}}|\d{{1,2}}\.? {_MONTH}\.?,? \d{{4}})(?!\w)",
+        named_date,
+    ),
     ("date", r"(?<![\w./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?!(?![Tt]\d)[\w/-])", date),
     ("social_number", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", social_number),
     ("card", r"(?<![\w])\d(?:[ -]?\d){12,18}(?!\w)", card),
     (
         "phone",
-        r"(?<![\w+])(?:\+\d(?:[ .-]?\(?\d\)?){7,18}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)",
+        r"(?<![\w+])(?:\+\d(?:[ .-]?\(?\d\)?){7,18}|(?<!\d[ .-])00[1-9]\d{0,2}[ .-]\(?\d(?:[ .-]?\(?\d\)?){5,14}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)",
         phone,
     ),
 ]
 _FIND = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern, _ in KINDS))
 _WRITE = {name: write for name, _, write in KINDS}
 _READINGS = {"card": cards, "phone": phones, "iban": ibans}
-_HINT = re.compile(r"[0-9@]|(?i:passw|secret|token|api_?key)")
+_HINT = re.compile(r"[0-9@]|(?i:passw|passphrase|secret|token|key)|eyJ|[kopsru]_|xox|glpat|sk-|AIza|npm_|hf_")
 
 SPANS = T.ArrayType(
     T.StructType([
@@ -359,8 +462,11 @@ def pseudonymised(text: str, f: Feistel) -> tuple[str, list[tuple[str, int, int]
     out, spans, copied, at, length = [], [], 0, 0, 0
     while match := _FIND.search(text, at):
         kind, start = match.lastgroup, match.start()
-        found = written(kind, match[0], f)
-        if found is None:
+        head = _BEFORE[kind].match(match[0]).end() if kind in _BEFORE else 0
+        found = written(kind, match[0][head:], f)
+        if found is not None:
+            start += head
+        else:
             # Another kind may hold where no reading of this one does.
             for other, pattern in _OTHERS[kind]:
                 again = pattern.match(text, start)
@@ -392,8 +498,10 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFra
 
     Found are e-mail addresses, card numbers (check digit), telephone numbers (country code
     or the form with an area code), IPv4 addresses, dates from 1900 to 2099, social security
-    numbers, IBANs (check number), access keys, and values behind words like password or
-    token. A number directly behind a card, IBAN or telephone number is no part of it; where
+    numbers, IBANs (check number), IPv6 addresses, dates with an English month, access keys,
+    tokens with their issuer's mark, signed tokens, and values behind words like password or
+    token with a colon or an equals sign, quoted or not; an unquoted one behind a colon needs a
+    digit or an inner capital. A number directly behind a card, IBAN or telephone number is no part of it; where
     a country's telephone numbers vary in length, the longest reading holds. ``pii_spans`` lists kind, start and end (characters of the new text); an empty
     list where nothing was found, also for NULL texts, which stay NULL. All columns and rows
     are kept; a column ``pii_spans`` of the input is replaced. Row by row, nothing is shuffled.

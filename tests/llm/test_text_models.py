@@ -1,4 +1,6 @@
 import datetime
+import ipaddress
+import itertools
 import random
 import re
 import textwrap
@@ -125,6 +127,90 @@ def test_what_follows_a_value_is_no_part_of_it():
     assert changed("27 4111 1111 1111 1111")[1] == changed("x 4111 1111 1111 1111")[1]
 
 
+def test_letters_of_any_script_in_addresses_change():
+    for text in ("иван@mail.ru", "josé@mail.com", "ИВАН.Петров@почта.рф", "ß.straße@müller.de", "李雷@例子.中国", "İx@a.com"):
+        ((kind, value),) = changed(f"to {text}, please")[1]
+        assert kind == "email" and len(value) == len(text)
+        assert value.rpartition(".")[2] == text.rpartition(".")[2]
+        assert value.partition("@")[0] != text.partition("@")[0]
+        for a, b in zip(value, text):
+            assert a.isupper() == b.isupper() and a.isascii() == b.isascii() and a.isalpha() == b.isalpha()
+    assert changed("иван@mail.ru")[0].lower() == changed("ИВАН@MAIL.ru")[0].lower()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.sampled_from(["аб", "éà", "σς", "日本", "ßx", "١٢"]), st.sampled_from(["secret", "email"]))
+def test_characters_are_permuted_one_to_one(text, kind):
+    alphabets = [pii._alphabet(c) for c in text]
+    every = ["".join(t) for t in itertools.product(*alphabets)]
+    assert len(every) < 20_000 and sorted(every) == sorted(pii._characters(F, kind, t) for t in every)
+
+
+def test_secrets_are_found_by_structure():
+    for text, value in (
+        ('{"api_key": "abcd1234efgh"}', "abcd1234efgh"),
+        ('"password": "hunter2secret"', "hunter2secret"),
+        ("'DB_PASSWORD' => 'p@ss w0rd'", None),
+        ("'DB_PASSWORD' => 'p@ss,w0rd'", "p@ss,w0rd"),
+        ("export CLIENT_SECRET=abcdefgh", "abcdefgh"),
+        ("password: hunter2hunter", "hunter2hunter"),
+        ("access-key := `AbCdEf`", "AbCdEf"),
+        ("use ghp_abcdefghijklmnopqrstuvwxyz0123456789 here", "abcdefghijklmnopqrstuvwxyz0123456789"),
+        ("xoxb-123456789012-abcdefABCDEF", "123456789012-abcdefABCDEF"),
+        ("sk_live_abcdefghijklmnopqrstuvwx", "abcdefghijklmnopqrstuvwx"),
+        ("a eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dozjgNryP4J3jVmN b", "hbGciOiJIUzI1NiJ9"),
+    ):
+        new, found = changed(text)
+        if value is None:
+            continue
+        assert value in text and value not in new and len(new) == len(text), text
+        ((kind, written),) = found
+        assert kind in ("secret", "credential") and new.count(written) == 1
+        assert changed(text)[0] == new
+    for text in (
+        "The token: documentation of it.", "password: required", 'password = "${PASSWORD}"', "secret = '<yours>'",
+        "tokens and secrets", "a key: value", "the std::dec and a::b1 names", "at 12:30:45", "00:1a:2b:3c:4d:5e",
+    ):
+        assert changed(text) == (text, []), text
+
+
+def test_addresses_of_both_kinds_stay_linked():
+    new = changed("from 2001:db8::1 and 2001:0DB8:0:0:0:0:0:1 and 2001:db8::2")[1]
+    assert [k for k, _ in new] == ["ipv6"] * 3
+    a, b, c = (ipaddress.IPv6Address(v) for _, v in new)
+    assert a == b != c and a != ipaddress.IPv6Address("2001:db8::1")
+
+
+def test_named_dates_are_those_in_numbers():
+    iso = changed("2001-03-09")[0]
+    day = datetime.date.fromisoformat(iso)
+    for text, form in (
+        ("March 9, 2001", "{:%B} {}, {:%Y}"), ("9 March 2001", "{1} {0:%B} {0:%Y}"), ("Mar. 9, 2001", "{0:%b}. {1}, {0:%Y}"),
+    ):
+        ((kind, value),) = changed(f"on {text} it")[1]
+        assert kind == "named_date" and value == form.format(day, day.day, day)
+    for text in ("March 32, 2001", "March 9, 1899", "Marching 9 2001", "May 1234"):
+        assert changed(text) == (text, [])
+    first = datetime.date(1996, 1, 1)
+    for full in ("%B %d, %Y", "%d %b %Y"):
+        told = [(first + datetime.timedelta(n)).strftime(full) for n in range(1500)]
+        assert len({pii.named_date(F, t) for t in told}) == len(told)
+
+
+def test_international_prefix_is_a_plus():
+    plus = changed("+44 20 7946 0958")[0]
+    assert changed("0044 20 7946 0958")[0] == "00" + plus[1:]
+    for text in ("0012345678", "00999 12 34 56 78", "0044 12"):
+        assert changed(text) == (text, [])
+
+
+def test_plain_numbers_without_an_issuer_are_no_cards():
+    plain = "212346565978924" + str(pii.luhn_digit("212346565978924"))
+    assert changed(f"de {plain} x") == (f"de {plain} x", [])
+    grouped = " ".join(plain[i : i + 4] for i in range(0, 16, 4))
+    assert [k for k, _ in changed(f"4000000000000002 and {grouped}")[1]] == ["card", "card"]
+
+
 def test_what_is_not_valid_stays():
     for text in (
         "4111111111111112", "300.1.2.3", "2023-02-30", "000-12-3456", "Version 2.0.", "just text", "", "a@b",
