@@ -49,6 +49,8 @@ HEADLINE = [
     "champion_decision",
     "stream_dedupe_ordered",
     "profile_daily_sketch",
+    "curve_layout",
+    "quality_log",
     "ranker_search",
     "ranker_fit",
     "score_candidates",
