@@ -3,10 +3,15 @@
 The rows of a band and the number of bands follow from the wanted recall. Texts that agree
 in a whole band meet in its bucket; a bucket is a star around its least member, so its
 links are as many as its members. The stars' components are the places where texts are
-compared: each text's full n-gram set moves there once. A component above ``BLOCK`` texts
-is cut into blocks and each pair of blocks is a group of its own, so no task holds more
-than two blocks. A group counts common n-grams of all its pairs by matrix products over the
-n-grams that at least two of its texts share, and returns one row per text.
+compared: each text's full n-gram set moves there once.
+
+A component above ``BLOCK`` texts gets a centre, the n-grams that most of a few of its texts
+have. Jaccard distance is a metric, so the full sets' distances to the centre decide most
+pairs of a large group exactly: two texts within half the allowed distance are linked and
+are counted, not compared; one within that half and one beyond three halves are not linked.
+What stays open is cut into blocks and each open pair of blocks is a group of its own, so no
+task holds more than two blocks. A group counts common n-grams of all its pairs by matrix
+products over the n-grams that at least two of its texts share, and returns one row per text.
 """
 
 from __future__ import annotations
@@ -16,12 +21,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelgrove.llm.common import kept, mixed, shingles, slices
 from reelgrove.llm.components import components
+from reelgrove.operators.joins import lookup_join
 
 BLOCK = 512
+# Texts whose n-grams make a component's centre; any centre gives the same links.
+CENTRE_TEXTS = 64
+CORE, RING, FAR = range(3)
 MAX_HASHES = 128
 _COLUMNS = 4096
 
@@ -119,12 +128,13 @@ def _compare(threshold: float):
         node = table.column("node").to_numpy()
         copies = table.column("copies").to_numpy()
         block = table.column("block").to_numpy()
+        across = table.column("low")[0].as_py() != table.column("high")[0].as_py()
         sets = [np.frombuffer(g.as_py(), np.uint64) for g in table.column("grams")]
         size = np.array([len(s) for s in sets], np.float64)
         common = common_counts(sets).astype(np.float64)
         near = common >= threshold * (size[:, None] + size[None, :] - common) - 1e-9
         np.fill_diagonal(near, False)
-        if len(set(block.tolist())) > 1:  # two blocks: pairs inside one belong to its own group
+        if across:  # two blocks: pairs inside one belong to its own group
             near &= block[:, None] != block[None, :]
         root = np.arange(len(node))
         for i, j in zip(*np.nonzero(np.triu(near))):
@@ -140,6 +150,103 @@ def _compare(threshold: float):
     return run
 
 
+def _centre(table):
+    grams = [np.frombuffer(g.as_py(), np.uint64) for g in table.column("grams")]
+    values, seen = np.unique(np.concatenate(grams), return_counts=True)
+    return pa.table({
+        "component": table.column("component")[:1],
+        "centre": pa.array([values[2 * seen > len(grams)].tobytes()], pa.binary()),
+    })
+
+
+def _zoned(threshold: float):
+    half = (1 - threshold) / 2
+
+    def zone(grams: bytes, centre: bytes) -> int:
+        a, b = np.frombuffer(grams, np.uint64), np.frombuffer(centre, np.uint64)
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        away = 1 - common / (len(a) + len(b) - common)
+        if away <= half - 1e-9:
+            return CORE
+        return RING if away <= 3 * half + 1e-9 else FAR
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [zone(g.as_py(), c.as_py()) for g, c in zip(batch.column("grams"), batch.column("centre"))]
+            columns = [batch.column(c) for c in ("node", "component", "copies", "grams")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(found, pa.int32())], ["node", "component", "copies", "grams", "zone"]
+            )
+
+    return run
+
+
+def zones(sets: DataFrame, threshold: float) -> DataFrame:
+    """The texts of components above ``BLOCK`` with their zone around the component's centre.
+
+    ``sets`` holds ``node``, ``component``, ``copies``, ``large`` and ``grams`` (sorted n-gram
+    hashes); the result the same without ``large`` and with ``zone``: ``CORE`` within half the
+    allowed distance, ``RING`` within three halves, else ``FAR``.
+    """
+    large = sets.where("large")
+    order = Window.partitionBy("component").orderBy(F.xxhash64("node"), "node")
+    picked = (
+        large.select("node", "component").withColumn("place", F.row_number().over(order))
+        .where(F.col("place") <= CENTRE_TEXTS).select("node")
+    )
+    centres = kept(
+        large.select("node", "component", "grams").join(picked, "node").groupBy("component").applyInArrow(
+            _centre, "component bigint, centre binary"
+        ),
+        "centres",
+    )
+    return lookup_join(large.drop("large"), centres, "component", "inner").select(
+        "node", "component", "copies", "grams", "centre"
+    ).mapInArrow(_zoned(threshold), "node bigint, component bigint, copies bigint, grams binary, zone int")
+
+
+def open_groups(zoned: DataFrame) -> DataFrame:
+    """Every text once for each pair of blocks (``low``, ``high``) that has open pairs with it.
+
+    Texts of the core meet those of the ring alone; ring and far texts meet both kinds.
+    """
+    counts = zoned.groupBy("component").agg(
+        *[F.ceil(F.count_if(F.col("zone") == z) / BLOCK).cast("bigint").alias(f"blocks{z}") for z in (CORE, RING, FAR)]
+    )
+    stride = 1 << 40
+
+    def blocks(zone: int) -> Column:
+        n = F.col(f"blocks{zone}")
+        names = F.sequence(F.lit(zone * stride), F.lit(zone * stride) + n - 1)
+        return F.when(n > 0, names).otherwise(F.array().cast("array<bigint>"))
+
+    zone = F.col("zone")
+    own = F.when(zone == CORE, F.col("blocks0")).when(zone == RING, F.col("blocks1")).otherwise(F.col("blocks2"))
+    others = (
+        F.when(zone == CORE, blocks(RING))
+        .when(zone == RING, F.concat(blocks(CORE), blocks(RING), blocks(FAR)))
+        .otherwise(F.concat(blocks(RING), blocks(FAR)))
+    )
+    return (
+        lookup_join(zoned, counts, "component", "inner")
+        .withColumn("block", zone * F.lit(stride) + F.pmod(F.xxhash64("node"), own))
+        .withColumn("other", F.explode(others))
+        .select(
+            "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+            "block", "node", "copies", "grams",
+        )
+    )
+
+
+def core_links(zoned: DataFrame) -> DataFrame:
+    """Links among the core texts of each component, all of which are linked."""
+    core = zoned.where(F.col("zone") == CORE).select("component", "node", "copies")
+    whole = core.groupBy("component").agg(F.min("node").alias("hub"), F.sum("copies").alias("all"))
+    return lookup_join(core, whole, "component", "inner").select(
+        "node", "hub", (F.col("all") - F.col("copies")).alias("links")
+    )
+
+
 def near_classes(
     docs: DataFrame,
     threshold: float = 0.8,
@@ -182,12 +289,8 @@ def near_classes(
     stars = in_buckets.join(hubs, "bucket").select(F.col("node").alias("u"), F.col("hub").alias("v"))
     places = kept(components(stars), "places")
 
-    sizes = places.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = (
-        places.join(sizes, "component")
-        .join(nodes.select("node", "key", "copies"), "node")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    )
+    sizes = places.groupBy("component").agg((F.count("*") > BLOCK).alias("large"))
+    members = lookup_join(places, sizes, "component", "inner").join(nodes.select("node", "key", "copies"), "node")
     grams = (
         plain.select("key", "text")
         .join(members.select("key", "node"), "key")
@@ -195,23 +298,17 @@ def near_classes(
         .mapInArrow(_sets(n), "node bigint, grams binary")
         .dropDuplicates(["node"])
     )
-    grouped = (
-        members.join(grams, "node")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "component",
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
-            "block",
-            "node",
-            "copies",
-            "grams",
-        )
+    sets = kept(members.join(grams, "node").select("node", "component", "copies", "large", "grams"), "sets")
+    zoned = kept(zones(sets, threshold), "zones")
+    small = sets.where("NOT large").select(
+        "component", F.lit(0).cast("bigint").alias("low"), F.lit(0).cast("bigint").alias("high"),
+        F.lit(0).cast("bigint").alias("block"), "node", "copies", "grams",
     )
     compared = kept(
-        grouped.groupBy("component", "low", "high").applyInArrow(
-            _compare(threshold), "node bigint, hub bigint, links bigint"
-        ),
+        small.unionByName(open_groups(zoned))
+        .groupBy("component", "low", "high")
+        .applyInArrow(_compare(threshold), "node bigint, hub bigint, links bigint")
+        .unionByName(core_links(zoned)),
         "links",
     )
     classes = components(compared.select(F.col("node").alias("u"), F.col("hub").alias("v")))

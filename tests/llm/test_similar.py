@@ -165,3 +165,54 @@ def test_odd_rows_fingerprints(odd_docs, no_docs):
             by_text[texts[r.doc_id]].add(tuple(r.fingerprint))
     assert all(len(f) == 1 for f in by_text.values()) and by_text[""] == {()}
     assert fingerprints.compare_with_edit(no_docs).count() == 0
+
+
+def edited(rng, words, edits, spare="x"):
+    out = list(words)
+    for place in rng.sample(range(len(words)), edits):
+        out[place] = f"{spare}{rng.randrange(10**9)}"
+    return " ".join(out)
+
+
+def test_zones_of_a_large_group_lose_no_link(spark, monkeypatch):
+    """Texts near, beside and far from the centre, in one component chained by steps."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, edited(rng, base, rng.choice([0, 1, 2, 3, 4, 5, 6]))) for i in range(240)]
+    chain = list(base)
+    for step in range(40):
+        chain[(step * 5) % 200] = f"c{step}"
+        rows += [(1000 + 3 * step + k, edited(rng, chain, k)) for k in range(3)]
+    rows += [(2000, rows[0][1]), (2001, rows[0][1]), (2002, rows[-1][1])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = by_force(rows)
+    seen = []
+    zones = ngram_join.zones
+    monkeypatch.setattr(ngram_join, "zones", lambda *a: seen.append(zones(*a)) or seen[-1])
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.near_classes(docs).collect()}
+    assert got == {i: v for (i, _), v in want.items()}
+    assert {r.zone for r in seen[0].select("zone").distinct().collect()} == {0, 1, 2}
+
+
+def test_rows_of_one_large_group_grow_with_its_texts(spark, monkeypatch):
+    """Near copies around one text are counted: none of them moves to a pair of blocks."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, edited(rng, base, 3)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    moved = []
+    groups = ngram_join.open_groups
+    monkeypatch.setattr(ngram_join, "open_groups", lambda z: moved.append(groups(z)) or moved[-1])
+    got = ngram_join.near_classes(docs).collect()
+    assert len(got) == 3000 and {(r.class_id, r.n_links) for r in got} == {(0, 2999)}
+    assert moved[0].count() == 0
+
+
+def test_components_of_a_hot_hub(spark, monkeypatch):
+    from reelgrove.llm import components as module
+
+    monkeypatch.setattr(module, "HOT_EDGES", 10)
+    edges = [(i, 0) for i in range(1, 400)] + [(i, i + 1) for i in range(500, 530)] + [(399, 500)]
+    found = {r.node: r.component for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    assert set(found.values()) == {0} and len(found) == 431
