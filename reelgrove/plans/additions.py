@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from reelgrove.operators import experiments, features, governance, quality, recommend, spread
 from reelgrove.plans.chain import _CANDIDATES, _sample_score, _with_candidates
 from reelgrove.plans.registry import query
-from reelgrove.sources import sample_views as v
+from reelgrove.operators.joins import shuffle_partitions
+from reelgrove.sources import bucketed, sample_views as v
 
 
 @query("quarantine", """
@@ -41,6 +42,24 @@ def point_in_time_features(spark, folder):
     return features.point_in_time(facts, scores, "user_id", "event_ts", "served_at", ["last_score"])
 
 
+@query("bucketed_user_items", """
+    SELECT i.user_id, u.country, i.content_id, CAST(sum(i.watch_seconds) AS BIGINT) AS watch_seconds,
+           count(*) AS views
+    FROM silver_interactions i LEFT JOIN silver_users u ON i.user_id = u.user_id
+    GROUP BY i.user_id, u.country, i.content_id""")
+def bucketed_user_items(spark, folder):
+    """Watch time per user and item with the user's country, from tables stored by user."""
+    users = v.silver_users(spark, folder).select("user_id", "country")
+    views = v.silver_interactions(spark, folder).select("user_id", "content_id", "watch_seconds")
+    buckets = shuffle_partitions(views)
+    by_user = bucketed.lookup(
+        bucketed.store(views, "user_id", buckets), bucketed.store(users, "user_id", buckets)
+    )
+    return bucketed.per_key(by_user, lambda rows: rows.groupBy("user_id", "country", "content_id").agg(
+        F.sum("watch_seconds").alias("watch_seconds"), F.count("*").alias("views")
+    ))
+
+
 # ---- lists that spread -------------------------------------------------------------------
 
 _VALUE = f"round({spread.SCORE_SHARE}::DOUBLE * score - (1 - {spread.SCORE_SHARE}::DOUBLE) * alike, 12)"
