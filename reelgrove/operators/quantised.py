@@ -25,7 +25,11 @@ from reelgrove.operators.similarity import (
     MIN_RECALL,
     RECALL_SAMPLE,
     SCORE_DIGITS,
+    _exact_best,
+    _first_copies,
+    _kind,
     _matrix,
+    _raw,
     _rows,
     _unit,
     cell_blocks,
@@ -36,6 +40,9 @@ from reelgrove.streaming.schemas import load_text, save_text
 
 SAMPLE_ROWS = 16_384
 LEARNING_ROUNDS = 12
+# Items, or queries, that meet in a task, and pairs whose guesses it holds at once.
+_BLOCK_ROWS = 1 << 17
+_GUESSED_PAIRS = 1 << 22
 
 
 @dataclass
@@ -148,6 +155,10 @@ class QuantisedIndex:
             held[row["cell"]] = row["count"]
         return held
 
+    def blocks(self) -> int:
+        """How many blocks a search cuts the items into; each gives a query a short list."""
+        return max(1, math.ceil(self.codes.count() / _BLOCK_ROWS))
+
 
 def encode(items: DataFrame, item_id: str, books: Codebooks, item_vector: str = "embedding") -> DataFrame:
     """``id``, ``cell`` and ``code`` of every item that has an id and a vector."""
@@ -287,41 +298,126 @@ def short_lists(
     return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= length)
 
 
-def _true_scores(
-    listed: DataFrame,
+def _guesses(books: Codebooks, queries: np.ndarray, cells: np.ndarray, probed: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Looked-up scores of queries x items in single width; -inf where no cell is searched.
+
+    Two parts are looked up at once in a table of their entries' sums.
+    """
+    tables = books.tables(queries).astype(np.float32)
+    coarse = (queries @ books.centres.T).astype(np.float32)
+    parts, entries = books.parts, books.entries.shape[1]
+    step = 2 if entries <= 64 else 1
+    total = np.where(probed[:, cells], coarse[:, cells], np.float32(-np.inf)).T.copy()
+    looked = np.empty_like(total)
+    for p in range(0, parts, step):
+        if step == 2 and p + 1 < parts:
+            table = (tables[:, p][:, :, None] + tables[:, p + 1][:, None, :]).reshape(len(queries), -1)
+            place = codes[:, p].astype(np.intp) * entries + codes[:, p + 1]
+        else:
+            table, place = tables[:, p], codes[:, p].astype(np.intp)
+        np.take(np.ascontiguousarray(table.T), place, axis=0, out=looked, mode="clip")
+        total += looked
+    return np.ascontiguousarray(total.T)
+
+
+def best_by_codes(
+    books: Codebooks,
+    queries: np.ndarray,
+    probed: list,
+    ids: np.ndarray,
+    cells: np.ndarray,
+    codes: np.ndarray,
+    vectors: np.ndarray,
+    length: int,
+    k: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, item id and true score of the ``k`` best of the ``length`` best guesses per query.
+
+    Equal guesses at the end of a list are all scored.
+    """
+    by_id = np.argsort(ids, kind="stable")
+    by_id = by_id[_first_copies(vectors[by_id], k)]
+    ids, cells, codes, vectors = ids[by_id], cells[by_id], codes[by_id], vectors[by_id]
+    chunk = max(1, _GUESSED_PAIRS // max(1, len(ids)))
+    found = []
+    for start in range(0, len(queries), chunk):
+        m = _unit(queries[start : start + chunk].astype(np.float64))
+        searched = np.zeros((len(m), len(books.centres)), dtype=bool)
+        for row, own in enumerate(probed[start : start + chunk]):
+            searched[row, own] = True
+        rows, columns = [], []
+        for row, guess in enumerate(_guesses(books, m, cells, searched, codes)):
+            kept = np.flatnonzero(guess > -np.inf)
+            if len(kept) > length:
+                values = guess[kept]
+                kept = kept[values >= np.partition(values, len(values) - length)[len(values) - length]]
+            rows.append(np.full(len(kept), row))
+            columns.append(kept)
+        found.extend(_exact_best(m, vectors, rows, columns, start, k, True))
+    rows, columns, values = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, int),) * 3
+    return rows.astype(int), ids[columns.astype(int)], values
+
+
+def _searched(
     queries: DataFrame,
     items: DataFrame,
+    index: QuantisedIndex,
+    effort: Effort,
+    k: int,
     query_id: str,
     item_id: str,
     query_vector: str,
     item_vector: str,
-    group_rows: int = 1 << 16,
 ) -> DataFrame:
-    """Listed pairs with their cosine, computed in groups of whole queries."""
-    vectors = _rows(items, item_id, item_vector).select(F.col("id").alias("item"), "vector")
-    pairs = listed.select("query", "item").join(vectors, "item")
-    asked = _rows(queries, query_id, query_vector)
-    # A group holds about ``group_rows`` pairs, and each query's pairs lie in one group.
-    groups = max(1, math.ceil(listed.count() / group_rows))
-
-    def part(column: str):
-        return F.pmod(F.xxhash64(column), F.lit(groups))
-
-    def score(pair_table: pa.Table, query_table: pa.Table) -> pa.Table:
-        if pair_table.num_rows and query_table.num_rows:
-            place = {q: i for i, q in enumerate(query_table["id"].to_pylist())}
-            at = np.array([place[q] for q in pair_table["query"].to_pylist()])
-            left = _unit(_matrix(query_table["vector"]))[at]
-            values = np.round((left * _unit(_matrix(pair_table["vector"]))).sum(axis=1), SCORE_DIGITS) + 0.0
+    """(query, item, score) of the ``k`` best of every block of items that a query is held against.
+
+    A block's codes and vectors meet a part of the queries once: lists are cut and scored
+    where they arise, and ``k`` rows a query and block leave the task.
+    """
+    books, counts = index.books, index.counts()
+    side, known = _rows(queries, query_id, query_vector), _rows(items, item_id, item_vector)
+    qtype, itype = _kind(side, "id"), _kind(index.codes, "id")
+    n_queries = side.count()
+    tasks = 3 * side.sparkSession.sparkContext.defaultParallelism
+    blocks = index.blocks()
+    part_rows = min(_BLOCK_ROWS, max(1024, math.ceil(n_queries * blocks / tasks)))
+    parts = max(1, math.ceil(n_queries / part_rows))
+
+    def numbers(count: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    def place(count: int):
+        return F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
+
+    coded = index.codes.join(known, "id").select(
+        "id", "cell", "code", "vector", place(blocks).alias("block"), numbers(parts).alias("part")
+    )
+    asked = side.select("id", "vector", place(parts).alias("part"), numbers(blocks).alias("block"))
+
+    def search(query_table: pa.Table, item_table: pa.Table) -> pa.Table:
+        ids = item_table["id"].to_numpy()
+        if query_table.num_rows and item_table.num_rows:
+            m = _raw(query_table["vector"])
+            coarse = np.where(counts > 0, _unit(m.astype(np.float64)) @ books.centres.T, -np.inf)
+            order = np.argsort(-coarse, axis=1, kind="stable")[:, : effort.n_probe]
+            codes = np.frombuffer(b"".join(item_table["code"].to_pylist()), np.uint8)
+            rows, ids, values = best_by_codes(
+                books, m, list(order), ids, item_table["cell"].to_numpy(),
+                codes.reshape(-1, books.parts), _raw(item_table["vector"]), effort.length, k,
+            )
         else:
-            pair_table, values = pair_table.slice(0, 0), np.empty(0)
-        return pa.table({"query": pair_table["query"], "item": pair_table["item"], "score": pa.array(values, pa.float64())})
+            rows, ids, values = np.empty(0, int), ids[:0], np.empty(0)
+        return pa.table(
+            {
+                "query": query_table["id"].take(pa.array(rows)),
+                "item": pa.array(ids, type=item_table.schema.field("id").type),
+                "score": pa.array(values, type=pa.float64()),
+            }
+        )
 
-    kinds = {c: listed.schema[c].dataType.simpleString() for c in ("query", "item")}
-    return (
-        pairs.groupBy(part("query").alias("g"))
-        .cogroup(asked.dropDuplicates(["id"]).groupBy(part("id").alias("g")))
-        .applyInArrow(score, f"query {kinds['query']}, item {kinds['item']}, score double")
+    keys = ["block", "part"]
+    return asked.groupBy(*keys).cogroup(coded.groupBy(*keys)).applyInArrow(
+        search, f"query {qtype}, item {itype}, score double"
     )
 
 
@@ -332,9 +428,9 @@ class Effort:
     n_probe: int
     length: int
 
-    def products(self, books: Codebooks, n_queries: int) -> int:
-        """Whole-vector products of a search: centres, a table per query, the short list."""
-        return n_queries * (len(books.centres) + books.entries.shape[1] + self.length)
+    def products(self, books: Codebooks, n_queries: int, blocks: int = 1) -> int:
+        """Whole-vector products of a search: centres and a table per query and block, its short list."""
+        return n_queries * blocks * (len(books.centres) + books.entries.shape[1] + self.length)
 
 
 def effort_for_recall(
@@ -491,10 +587,7 @@ def knn_quantised(
     effort = effort or effort_for_recall(
         queries, items, index, k, item_id=item_id, item_vector=item_vector, min_recall=min_recall, **columns
     )
-    listed = stored(
-        short_lists(queries, index, effort.length, n_probe=effort.n_probe, **columns), "short_lists"
-    )
-    scored = _true_scores(listed, queries, items, query_id, item_id, query_vector, item_vector)
+    scored = _searched(queries, items, index, effort, k, item_id=item_id, item_vector=item_vector, **columns)
     order = Window.partitionBy("query").orderBy(F.desc("score"), "item")
     return (
         scored.withColumn("rank", F.row_number().over(order))

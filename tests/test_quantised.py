@@ -95,3 +95,22 @@ def test_edges(spark):
     index = quantised.build_index(same, "id", cells=4)
     lists = quantised.short_lists(same, index, 3, "id", block_rows=32, query_rows=16).collect()
     assert len(lists) == 900 and {r.item for r in lists} == {0, 1, 2}
+
+
+def test_short_lists_are_scored_where_they_arise(spark, monkeypatch):
+    """A search stores no lists, and its tables of pairs of parts give the looked-up scores."""
+    rng = np.random.default_rng(4)
+    rows = table(spark, rng.normal(size=(700, 10)))
+    index = quantised.build_index(rows, "id", cells=5, parts=5, entries=16)
+    names = []
+    monkeypatch.setattr(quantised, "stored", lambda df, name: names.append(name) or similarity.stored(df, name))
+    found = quantised.knn_quantised(rows, rows, 4, index=index, effort=quantised.Effort(3, 40), **NAMES)
+    assert found.count() == 2800 and names == []
+    books, m = index.books, rng.normal(size=(6, 10))
+    codes = rng.integers(0, 16, (50, 5)).astype(np.uint8)
+    cells = np.repeat(2, 50)
+    probed = np.zeros((6, 5), dtype=bool)
+    probed[:5, 2] = True
+    guess = quantised._guesses(books, m, cells, probed, codes)
+    assert np.allclose(guess[:5], books.looked_up(books.tables(m), m @ books.centres[2], codes)[:5], atol=1e-4)
+    assert np.isneginf(guess[5]).all()
