@@ -64,7 +64,7 @@ def genres_seen(spark, folder):
     FROM gold_interactions GROUP BY user_id""")
 def first_genre(spark, folder):
     return (
-        v.viewed_items(spark, folder)
+        v.viewed_items(spark, folder, v.view_tasks(spark, folder))
         .groupBy("user_id", "content_id", "genre")
         .agg(F.min("event_ts").alias("first_ts"))
         .groupBy("user_id")

@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from oracle import plan_of
 from pyspark.sql import functions as F
 
@@ -55,3 +56,13 @@ def test_no_join_runs_inside_a_search_for_hot_keys(spark, small, no_broadcast, m
     monkeypatch.setattr(joins, "frequent_codes", lambda keys, *a: searched.append(keys) or real(keys, *a))
     v.gold_interactions(spark, small)
     assert all(not joins.joins_tables(keys) for keys in searched)
+
+
+@pytest.mark.parametrize("name", ["first_genre"])
+def test_tasks_of_views_grow_in_number_with_the_views(spark, small, monkeypatch, name):
+    views = read_table(spark, small, "lineitem").count()
+    monkeypatch.setattr(v, "TASK_VIEWS", views // 9)
+    assert v.view_tasks(spark, small) in (9, 10)
+    text = plan_of(QUERIES[name](spark, small))
+    dealt = re.findall(r"hashpartitioning\(\w+#\d+L?, (\d+)\), REPARTITION_BY_NUM", text)
+    assert dealt and {int(n) for n in dealt} == {v.view_tasks(spark, small)}
