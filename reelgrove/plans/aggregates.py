@@ -117,12 +117,17 @@ def top_k_per_user(spark, folder):
 
 
 def _watch_lists(spark, folder):
-    """Items of each user, scored by watch time, with genre."""
-    rows = v.viewed_items(spark, folder)
+    """Items of each user, scored by watch time, with genre, dealt by user.
+
+    Windows per user, and per user and genre, then need no shuffle of their own.
+    """
+    tasks = v.view_tasks(spark, folder)
+    rows = v.viewed_items(spark, folder, tasks)
     return (
         rows.where("genre IS NOT NULL")
         .groupBy("user_id", "content_id", "genre")
         .agg(F.sum("watch_seconds").alias("score"))
+        .repartition(tasks, "user_id")
     )
 
 

@@ -58,7 +58,7 @@ def test_no_join_runs_inside_a_search_for_hot_keys(spark, small, no_broadcast, m
     assert all(not joins.joins_tables(keys) for keys in searched)
 
 
-@pytest.mark.parametrize("name", ["first_genre"])
+@pytest.mark.parametrize("name", ["first_genre", "diversity_rerank"])
 def test_tasks_of_views_grow_in_number_with_the_views(spark, small, monkeypatch, name):
     views = read_table(spark, small, "lineitem").count()
     monkeypatch.setattr(v, "TASK_VIEWS", views // 9)
