@@ -66,3 +66,8 @@ def test_tasks_of_views_grow_in_number_with_the_views(spark, small, monkeypatch,
     text = plan_of(QUERIES[name](spark, small))
     dealt = re.findall(r"hashpartitioning\(\w+#\d+L?, (\d+)\), REPARTITION_BY_NUM", text)
     assert dealt and {int(n) for n in dealt} == {v.view_tasks(spark, small)}
+
+
+def test_publishing_scores_the_views_once_for_each_list(spark, small):
+    text = plan_of(QUERIES["publish_recommendations"](spark, small))
+    assert len(re.findall(r"Location: .*lineitem", text)) == 1  # the fresh lists are read from a table
