@@ -141,7 +141,8 @@ def _factors(spark, folder):
     SELECT DISTINCT 'item', content_id, {fixed.FACTOR_RANK}, TRUE FROM silver_interactions""")
 def factor_embeddings(spark, folder):
     """A vector for every user and item, and whether they predict better than the mean."""
-    ratings = stored(models.normalised_ratings(v.silver_interactions(spark, folder)), "ratings")
+    views = v.silver_interactions(spark, folder).select("user_id", "content_id", "watch_seconds")
+    ratings = models.normalised_ratings(stored(views, "views"))  # the views' join runs once
     model = models.factor_embeddings(ratings)
     mean = ratings.agg(F.avg("rating")).first()[0]
     pairs = ratings.join(model.users.withColumnRenamed("embedding", "u"), "user_id").join(

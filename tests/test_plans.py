@@ -6,7 +6,7 @@ import pytest
 from oracle import plan_of
 from pyspark.sql import functions as F
 
-from reelgrove.operators import filters, lists
+from reelgrove.operators import filters, lists, models
 from reelgrove.plans import QUERIES
 from reelgrove.sources import sample_views as v
 from reelgrove.sources.tables import read_table
@@ -71,3 +71,10 @@ def test_tasks_of_views_grow_in_number_with_the_views(spark, small, monkeypatch,
 def test_publishing_scores_the_views_once_for_each_list(spark, small):
     text = plan_of(QUERIES["publish_recommendations"](spark, small))
     assert len(re.findall(r"Location: .*lineitem", text)) == 1  # the fresh lists are read from a table
+
+
+def test_factors_are_checked_on_views_joined_once(spark, small, monkeypatch):
+    read, whole = [], models.normalised_ratings
+    monkeypatch.setattr(models, "normalised_ratings", lambda rows: read.append(plan_of(rows)) or whole(rows))
+    QUERIES["factor_embeddings"](spark, small)
+    assert read and not any("lineitem" in text for text in read)
