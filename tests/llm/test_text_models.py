@@ -1,10 +1,12 @@
 import datetime
 import ipaddress
 import itertools
+import math
 import random
 import re
 import textwrap
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -434,3 +436,42 @@ def test_ordinary_lines_are_whole_and_chosen_by_hash(spark):
     lines = licenses.prose_sample(docs)
     assert 70 <= len(lines) <= 80 and any(len(t) > 900 for t in lines) and any(t.startswith("z") for t in lines)
     assert lines == licenses.prose_sample(docs.repartition(5)) and lines != sorted(lines)
+
+
+def test_values_beyond_the_digits_that_python_writes():
+    """Numbers of more than 4,300 decimal digits, which ``%d`` refuses."""
+    long = "aB3/" * 2500
+    for text in (f"token={long}", 'password="' + "deadbeef" * 1000 + '"', "x" * 9000 + "@example.com", "ghp_" + "a1B" * 3000):
+        new, kinds = changed(text)
+        assert len(kinds) == 1 and len(new) == len(text) and new != text
+        assert changed(text)[0] == new
+    # Each letter counts, the first and the last one too.
+    near = {f"token={t}" for t in (long, "b" + long[1:], long[:-2] + "4/")}
+    assert len({changed(t)[0] for t in near}) == 3
+
+
+def test_places_of_a_number_are_those_it_was_read_from():
+    sizes = [(10, 26, 3)[i % 3] for i in range(500)]
+    places = [i * 7 % size for i, size in enumerate(sizes)]
+    number, size = pii._number(places, sizes)
+    read = 0
+    for place, of in zip(places, sizes):
+        read = read * of + place
+    assert number == read and size == math.prod(sizes)
+    assert pii._places(number, sizes) == places
+
+
+def test_digits_of_other_scripts_end_no_run():
+    assert changed("5 (٠١٢) ٣٤٥-٦٧٨٩") == ("5 (٠١٢) ٣٤٥-٦٧٨٩", [])
+    assert [k for k, _ in changed("March ٣, 2020")[1]] == ["named_date"]
+    assert changed("March ٣, 2020")[0] == changed("March 3, 2020")[0]
+
+
+def test_a_cluster_without_a_key_draws_one_of_its_own():
+    def session(app):
+        context = SimpleNamespace(master="spark://host:7077", applicationId=app)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+    with pytest.warns(UserWarning, match=pii.KEY_SETTING):
+        one, other = pii.key_of(session("app-1")), pii.key_of(session("app-2"))
+    assert one == pii.key_of(session("app-1")) and len({one, other, b"for local trials only"}) == 3
