@@ -475,3 +475,11 @@ def test_a_cluster_without_a_key_draws_one_of_its_own():
     with pytest.warns(UserWarning, match=pii.KEY_SETTING):
         one, other = pii.key_of(session("app-1")), pii.key_of(session("app-2"))
     assert one == pii.key_of(session("app-1")) and len({one, other, b"for local trials only"}) == 3
+
+
+def test_the_pipelines_third_stage_takes_a_very_long_secret(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "token=" + "aB3/" * 2500, 0)], "doc_id bigint, text string, n_chars bigint")
+    row = corpus_pipeline.private_data(spark, docs, "").first()
+    assert row.text.startswith("token=") and "aB3/aB3/" not in row.text and row.n_chars == len(row.text) == 10_006
