@@ -336,7 +336,7 @@ def best_by_codes(
     Equal guesses at the end of a list are all scored.
     """
     by_id = np.argsort(ids, kind="stable")
-    by_id = by_id[_first_copies(vectors[by_id], k)]
+    by_id = by_id[_first_copies(vectors, by_id, k)]
     ids, cells, codes, vectors = ids[by_id], cells[by_id], codes[by_id], vectors[by_id]
     chunk = max(1, _GUESSED_PAIRS // max(1, len(ids)))
     found = []
@@ -353,7 +353,7 @@ def best_by_codes(
                 kept = kept[values >= np.partition(values, len(values) - length)[len(values) - length]]
             rows.append(np.full(len(kept), row))
             columns.append(kept)
-        found.extend(_exact_best(m, vectors, rows, columns, start, k, True))
+        found.extend(_exact_best(m, vectors, np.arange(len(vectors)), rows, columns, start, k, True))
     rows, columns, values = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, int),) * 3
     return rows.astype(int), ids[columns.astype(int)], values
 
