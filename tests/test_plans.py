@@ -78,3 +78,9 @@ def test_factors_are_checked_on_views_joined_once(spark, small, monkeypatch):
     monkeypatch.setattr(models, "normalised_ratings", lambda rows: read.append(plan_of(rows)) or whole(rows))
     QUERIES["factor_embeddings"](spark, small)
     assert read and not any("lineitem" in text for text in read)
+
+
+def test_no_vector_is_shuffled_with_each_retrieved_pair(spark, small, no_broadcast):
+    text = plan_of(QUERIES["retrieve_factors"](spark, small))
+    joined = [line for line in text.splitlines() if "SortMergeJoin" in line]
+    assert "FlatMapCoGroupsInArrow" in text and all("content_id" not in line for line in joined)
